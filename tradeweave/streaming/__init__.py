@@ -1,0 +1 @@
+"""No streaming operators: the feature set being rebuilt is batch only."""
