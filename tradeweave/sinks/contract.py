@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +71,7 @@ def _rejected(contract: Contract) -> Column:
         for c, kind in contract.types.items()
         if kind != "string"
     ]
-    return F.array_max(F.array(F.lit(False), *bad))
+    return reduce(or_, bad, F.lit(False))
 
 
 def coerce_to_contract(df: DataFrame, contract: Contract = MEDIATED) -> DataFrame:

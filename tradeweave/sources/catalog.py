@@ -61,19 +61,13 @@ def field_profile(docs: DataFrame, document: str | Column) -> DataFrame:
     """
     text = F.col(document) if isinstance(document, str) else document
     keys = F.map_keys(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
-    # Each document also counts once under the null field: the total comes out
-    # of the same partial aggregation instead of a second scan.
-    found = docs.select(
-        F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(keys, F.array())))
-    )
-    counts = found.groupBy(F.col("col").alias("field")).agg(
-        F.min("pos").alias("ordinal"), F.count(F.lit(1)).alias("n_docs")
-    )
-    total = counts.where(F.col("field").isNull()).select(F.col("n_docs").alias("total"))
+    found = docs.select(F.posexplode(keys).alias("at", "field"))
+    # The total is a count that needs no column of the scan.
+    total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
     return (
-        counts.where(F.col("field").isNotNull())
-        .withColumn("presence", F.col("n_docs") / total.scalar())
-        .select("field", F.col("ordinal").cast("int").alias("ordinal"), "n_docs", "presence")
+        found.groupBy("field")
+        .agg(F.min("at").cast("int").alias("ordinal"), F.count(F.lit(1)).alias("n_docs"))
+        .withColumn("presence", F.col("n_docs") / total)
     )
 
 
