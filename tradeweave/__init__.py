@@ -8,3 +8,10 @@ Every operator takes DataFrames and returns DataFrames.  Subpackages:
 ``sinks``      loads with contracts, surrogate keys and row counts
 ``plans``      the domain views and queries used by ``__spark_entry__``
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need no installed copy: UDF code travels with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tradeweave.functions import jaro_winkler, price_similarity
 from tradeweave.functions.similarity import PAD_A, PAD_B, encode, jaro_winkler_rows
@@ -80,21 +81,25 @@ def _price_bands(price_share: float) -> Callable[[str], Column]:
     return band
 
 
-def _candidates(
-    left: DataFrame, right: DataFrame, threshold: float
-) -> DataFrame:
-    """Pairs (name_a, price_a, …, name_b, price_b, …) that can reach the threshold."""
+def _prefixes_pay(threshold: float) -> bool:
     share, price_share = _bounds(threshold)
-    if share <= -1 + _EPS:
-        raise ValueError("at this threshold a match needs no common character")
-    bands = None
-    if price_share > 0:
-        band = _price_bands(price_share)
-        left = left.withColumn("__band_a", band("price_a"))
-        near = F.sequence(band("price_b") - 1, band("price_b") + 1)
-        right = right.withColumn("__band_b", F.explode(near))
-        bands = ("__band_a", "__band_b")
-    return overlap_pairs(left, right, "name_a", "name_b", share, bands)
+    return share >= PREFIX_SHARE and price_share > 0
+
+
+def _candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (name_a, price_a, …, name_b, price_b, …) that can reach a threshold
+    strict enough for ``_prefixes_pay``."""
+    share, price_share = _bounds(threshold)
+    band = _price_bands(price_share)
+    near = F.sequence(band("price_b") - 1, band("price_b") + 1)
+    return overlap_pairs(
+        left.withColumn("__band_a", band("price_a")),
+        right.withColumn("__band_b", F.explode(near)),
+        "name_a",
+        "name_b",
+        share,
+        ("__band_a", "__band_b"),
+    )
 
 
 def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -125,7 +130,12 @@ def entity_match_pairs(a: DataFrame, b: DataFrame, threshold: float) -> DataFram
             .agg(F.count(F.lit(1)).alias(f"rows_{side}"))
         )
 
-    pairs = _candidates(counted(a, "a"), counted(b, "b"), threshold)
+    keys_a = materialize(counted(a, "a"), "entity-keys-a")
+    keys_b = materialize(counted(b, "b"), "entity-keys-b")
+    if _prefixes_pay(threshold):
+        pairs = _candidates(keys_a, keys_b, threshold)
+    else:
+        pairs = _grid(keys_a, keys_b, keys_a.count(), keys_b.count(), threshold, all_pairs=True)
     return _scored(pairs, threshold).select(
         "name_a", "price_a", "rows_a", "name_b", "price_b", "rows_b",
         "name_similarity", "price_similarity", "score",
@@ -196,39 +206,61 @@ def _near_price_hits(keys: DataFrame, total: int, threshold: float) -> DataFrame
     return tried.select("side", "name", "price", (hit("below") | hit("above")).alias("hit"))
 
 
-def _has_partner(threshold: float):
-    """Grid cell: the wanted keys that reach the threshold with some other key."""
-
-    def decide(wanted: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        found = pd.DataFrame({"name_a": pd.Series(dtype=str), "price_a": pd.Series(dtype=float)})
-        if wanted.empty or others.empty:
-            return found
-        at, names = pd.factorize(others["name_b"])
-        names = list(names)
-        order = sorted(range(len(names)), key=lambda i: len(names[i]))
-        blocks = [order[i : i + 4096] for i in range(0, len(order), 4096)]
-        encoded = [(block, *encode([names[i] for i in block], PAD_B)) for block in blocks]
-        prices = others["price_b"].to_numpy()
-        hits = []
-        for name, group in wanted.groupby("name_a"):
-            one, length = encode([name], PAD_A)
-            by_name = np.empty(len(names))
-            for block, codes, lengths in encoded:
-                by_name[block] = jaro_winkler_rows(one, length, codes, lengths)
-            part = NAME_WEIGHT * by_name[at]
-            able = part + PRICE_WEIGHT >= threshold - _EPS
-            if not able.any():
-                continue
-            part, other = part[able], prices[able]
-            for price in group["price_a"]:
-                top = np.maximum(price, other)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    close = np.where(top > 0, 1 - np.abs(price - other) / top, 1.0)
-                if (part + PRICE_WEIGHT * close >= threshold).any():
-                    hits.append((name, price))
-        return pd.DataFrame(hits, columns=found.columns) if hits else found
-
-    return decide
+def _cell_hits(
+    wanted: pd.DataFrame, others: pd.DataFrame, threshold: float, all_pairs: bool
+) -> tuple[list, list]:
+    """Row positions of the pairs in a cell that reach the threshold; only the
+    first partner of each wanted row unless ``all_pairs``."""
+    at, names = pd.factorize(others["name_b"])
+    order = sorted(range(len(names)), key=lambda i: len(names[i]))
+    blocks = [order[i : i + 4096] for i in range(0, len(order), 4096)]
+    encoded = [(block, *encode([names[i] for i in block], PAD_B)) for block in blocks]
+    prices = others["price_b"].to_numpy()
+    rows_a, rows_b = [], []
+    for name, mine in wanted.groupby("name_a").indices.items():
+        one, length = encode([name], PAD_A)
+        by_name = np.empty(len(names))
+        for block, codes, lengths in encoded:
+            by_name[block] = jaro_winkler_rows(one, length, codes, lengths)
+        part = NAME_WEIGHT * by_name[at]
+        able = np.flatnonzero(part + PRICE_WEIGHT >= threshold - _EPS)
+        for row in mine if len(able) else ():
+            price, other = wanted["price_a"].iat[row], prices[able]
+            top = np.maximum(price, other)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                close = np.where(top > 0, 1 - np.abs(price - other) / top, 1.0)
+            found = able[part[able] + PRICE_WEIGHT * close >= threshold]
+            found = found if all_pairs else found[:1]
+            rows_a.extend([row] * len(found))
+            rows_b.extend(found)
+    return rows_a, rows_b
+
+
+def _grid(
+    wanted: DataFrame,
+    others: DataFrame,
+    n_wanted: int,
+    n_others: int,
+    threshold: float,
+    all_pairs: bool,
+) -> DataFrame:
+    """Wanted rows with a partner or, if ``all_pairs``, all pairs of rows."""
+
+    columns_a, columns_b = wanted.columns, others.columns
+
+    def decide(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows_a, rows_b = [], []
+        if len(left) and len(right):
+            rows_a, rows_b = _cell_hits(left, right, threshold, all_pairs)
+        mine = left[columns_a].iloc[rows_a].reset_index(drop=True)
+        if not all_pairs:
+            return mine
+        return mine.join(right[columns_b].iloc[rows_b].reset_index(drop=True))
+
+    fields = wanted.schema.fields + (others.schema.fields if all_pairs else [])
+    return grid_match(
+        wanted, others, decide, StructType(fields), n_wanted, n_others, CELL_WANTED, CELL_OTHERS
+    )
 
 
 def _exact_hits(
@@ -237,20 +269,10 @@ def _exact_hits(
     """The open keys that have a partner anywhere among ``other_keys``."""
     wanted = open_keys.select(F.col("name").alias("name_a"), F.col("price").alias("price_a"))
     others = other_keys.select(F.col("name").alias("name_b"), F.col("price").alias("price_b"))
-    share, price_share = _bounds(threshold)
-    if share >= PREFIX_SHARE and price_share > 0:
+    if _prefixes_pay(threshold):
         found = _scored(_candidates(wanted, others, threshold), threshold)
     else:
-        found = grid_match(
-            wanted,
-            others,
-            _has_partner(threshold),
-            "name_a string, price_a double",
-            n_open,
-            n_other,
-            CELL_WANTED,
-            CELL_OTHERS,
-        )
+        found = _grid(wanted, others, n_open, n_other, threshold, all_pairs=False)
     return found.select(F.col("name_a").alias("name"), F.col("price_a").alias("price")).distinct()
 
 

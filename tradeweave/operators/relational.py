@@ -39,7 +39,7 @@ def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     names = list(columns or df.columns)
     kinds = dict(df.dtypes)
     text = [F.col(c) != "NULL" for c in names if kinds[c] == "string"]
-    return df.dropna("any", names).where(reduce(and_, text, F.lit(True)))
+    return df.dropna("any", subset=names).where(reduce(and_, text, F.lit(True)))
 
 
 def price_key(column: str) -> Column:

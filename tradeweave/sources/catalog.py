@@ -56,8 +56,8 @@ def field_profile(docs: DataFrame, document: str | Column) -> DataFrame:
     """Fields found in a column of JSON objects: (field, ordinal, n_docs, presence).
 
     All documents are read, so a field is found even if it is rare.  ``ordinal``
-    is the field's smallest position in any document, ``presence`` the share of
-    documents that have it.
+    is the field's last position in any document (fields missing before it only
+    move it forward), ``presence`` the share of documents that have it.
     """
     text = F.col(document) if isinstance(document, str) else document
     keys = F.map_keys(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
@@ -66,7 +66,7 @@ def field_profile(docs: DataFrame, document: str | Column) -> DataFrame:
     total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
     return (
         found.groupBy("field")
-        .agg(F.min("at").cast("int").alias("ordinal"), F.count(F.lit(1)).alias("n_docs"))
+        .agg(F.max("at").cast("int").alias("ordinal"), F.count(F.lit(1)).alias("n_docs"))
         .withColumn("presence", F.col("n_docs") / total)
     )
 
