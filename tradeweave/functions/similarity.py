@@ -117,18 +117,23 @@ def _over_distinct_pairs(score, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(result).astype("Float64").mask(~known)
 
 
-@F.pandas_udf(DoubleType())
-def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Jaro-Winkler similarity over code points; null if either side is null."""
+def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return _over_distinct_pairs(jaro_winkler_pairs, a, b)
 
 
-@F.pandas_udf(DoubleType())
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Indel similarity in 0..1; null if either side is null."""
+def _indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return _over_distinct_pairs(indel_pairs, a, b)
 
 
+# Jaro-Winkler similarity over code points; null if either side is null.
+jaro_winkler = F.pandas_udf(_jaro_winkler, DoubleType())
+# The same for a column that is filtered on and kept: a filter on a
+# deterministic UDF column is pushed below it and runs the UDF a second time.
+jaro_winkler_once = F.pandas_udf(_jaro_winkler, DoubleType()).asNondeterministic()
+# Indel similarity in 0..1; null if either side is null.
+indel_ratio = F.pandas_udf(_indel_ratio, DoubleType())
+
+
 def register_similarity(spark: SparkSession) -> None:
     """Make both functions callable from SQL text."""
     spark.udf.register("jaro_winkler", jaro_winkler)

@@ -27,7 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradeweave.functions import jaro_winkler, price_similarity
-from tradeweave.functions.similarity import PAD_A, PAD_B, encode, jaro_winkler_rows
+from tradeweave.functions.similarity import (
+    PAD_A,
+    PAD_B,
+    encode,
+    jaro_winkler_once,
+    jaro_winkler_rows,
+)
 from tradeweave.operators.similarity_join import grid_match, overlap_pairs
 from tradeweave.workspace import materialize
 
@@ -58,6 +64,13 @@ def _bounds(threshold: float) -> tuple[float, float]:
     return 3 * jaro - 1, (threshold - NAME_WEIGHT) / PRICE_WEIGHT
 
 
+def _shared_characters(threshold: float, prices: Column) -> Column:
+    """The bound of ``_bounds`` for a pair whose price similarity is known, at a
+    threshold strict enough for ``_prefixes_pay``."""
+    jw = (threshold - PRICE_WEIGHT * prices) / NAME_WEIGHT
+    return (jw - 0.4) / 0.2 - 1
+
+
 def _keys(df: DataFrame, side: str) -> DataFrame:
     return (
         df.select(
@@ -98,13 +111,14 @@ def _candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFram
         "name_a",
         "name_b",
         share,
+        _shared_characters(threshold, price_similarity("price_a", "price_b")),
         ("__band_a", "__band_b"),
     )
 
 
 def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
     return (
-        pairs.withColumn("name_similarity", jaro_winkler("name_a", "name_b"))
+        pairs.withColumn("name_similarity", jaro_winkler_once("name_a", "name_b"))
         .withColumn("price_similarity", price_similarity("price_a", "price_b"))
         .withColumn("score", _score(F.col("name_similarity"), F.col("price_similarity")))
         .where(F.col("score") >= threshold)
