@@ -28,9 +28,8 @@ def _rows(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, sf_dir: str, query, sql: str) -> str | None:
+def compare(df, con, sql: str) -> str | None:
     """None if both sides agree, else what differs."""
-    df = query(spark, sf_dir)
     mine = _rows(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)
     names = [d[0] for d in result.description]
@@ -69,7 +68,7 @@ def main() -> None:
         start = time.time()
         try:
             problem = (
-                compare(spark, con, sf_dir, query, oracle[name])
+                compare(query(spark, sf_dir), con, oracle[name])
                 if name in oracle
                 else f"no oracle, {query(spark, sf_dir).count()} rows"
             )

@@ -66,22 +66,42 @@ def lookup_nested(
     arrays together hold all matches, so no task has to hold one key's rows in
     one array.  A left row without a match gets an empty array.
     """
+    if not null_safe:
+        right = right.where(F.col(key).isNotNull())
+    body = F.struct(*right.columns)
     frequent = (
         right.groupBy(F.col(key).alias("__key"))
-        .agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("__chunks"))
+        .agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("__chunks"))
         .where("__chunks > 1")
     )
-    body = F.struct(*right.columns)
-    # The row's content and its input partition decide the chunk: repeatable
-    # when a task is run again, and copies of one row do not all land together.
-    spread = F.pmod(F.xxhash64(*right.columns) + F.xxhash64(F.col("__part")), F.col("__chunks"))
-    marked = right.withColumn("__part", F.spark_partition_id())
-    placed = marked.join(frequent, marked[key].eqNullSafe(frequent["__key"]), "left").select(
-        F.col(key).alias("__key"),
-        F.coalesce(spread, F.lit(0)).cast("int").alias("chunk"),
-        body.alias("__row"),
+    is_frequent = right[key].eqNullSafe(frequent["__key"])
+    rare = (
+        right.join(frequent, is_frequent, "left_anti")
+        .groupBy(F.col(key).alias("__key"))
+        .agg(F.collect_list(body).alias(name))
+        .withColumn("chunk", F.lit(0))
+    )
+    # Copies of a row are counted first and then dealt out in batches to
+    # consecutive chunks, so copies do not pile up in one chunk either.
+    batches = F.sequence(F.lit(0), F.ceil(F.col("__n") / chunk_rows).cast("int") - 1)
+    dealt = (
+        right.join(frequent, is_frequent)
+        .groupBy("__key", "__chunks", *right.columns)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__batch", F.explode(batches))
+        .withColumn("__place", F.pmod(F.xxhash64(*right.columns), "__chunks") + F.col("__batch"))
+        .select(
+            "__key",
+            F.pmod("__place", "__chunks").cast("int").alias("chunk"),
+            F.array_repeat(
+                body, F.least(F.lit(chunk_rows), F.col("__n") - F.col("__batch") * chunk_rows).cast("int")
+            ).alias("__rows"),
+        )
+    )
+    split = dealt.groupBy("__key", "chunk").agg(
+        F.flatten(F.collect_list("__rows")).alias(name)
     )
-    arrays = placed.groupBy("__key", "chunk").agg(F.collect_list("__row").alias(name))
+    arrays = rare.unionByName(split)
     same = (
         left[key].eqNullSafe(arrays["__key"]) if null_safe else left[key] == arrays["__key"]
     )
