@@ -7,7 +7,7 @@ that has at least one partner, so the work is a search for existence:
 1. Products collapse to distinct (name, price) keys before anything is compared.
 2. Each key is scored against a handful of likely partners: the lowest and
    highest price under its own name, and the nearest prices on either side among
-   names sharing a first word, last word or first letters.  Every hit is final,
+   names sharing the first word, first two words or first letters.  Every hit is final,
    and the cost is linear.
 3. Keys still without a partner are checked against all keys of the other side,
    through a character-prefix join for strict thresholds and bounded grid cells
@@ -46,6 +46,9 @@ THRESHOLD = 0.7
 GROUP_ROWS = 2_000_000
 CELL_WANTED = 2_000
 CELL_OTHERS = 10_000
+# Inside a cell: name pairs compared in one numpy step, and character classes.
+NAME_PAIRS = 16_384
+LETTERS = 64
 # Below this many shared characters (see overlap_pairs) prefixes cover most of
 # a name and a grid is cheaper.
 PREFIX_SHARE = 1.5
@@ -181,7 +184,7 @@ def _near_price_hits(keys: DataFrame, total: int, threshold: float) -> DataFrame
             for tag, value in {
                 "name": F.col("name"),
                 "first": F.element_at(words, 1),
-                "last": F.element_at(words, -1),
+                "start": F.array_join(F.slice(words, F.lit(1), F.lit(2)), " "),
                 "lead": F.substring("name", 1, 3),
             }.items()
         ]
@@ -220,30 +223,68 @@ def _near_price_hits(keys: DataFrame, total: int, threshold: float) -> DataFrame
     return tried.select("side", "name", "price", (hit("below") | hit("above")).alias("hit"))
 
 
+def _letter_counts(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How often each of ``LETTERS`` character classes occurs per encoded name."""
+    rows, at = np.nonzero(np.arange(codes.shape[1]) < lengths[:, None])
+    counts = np.zeros((len(codes), LETTERS), dtype=np.int16)
+    np.add.at(counts, (rows, codes[rows, at] % LETTERS), 1)
+    return counts
+
+
+def _similar_names(names_a: list[str], names_b: list[str], threshold: float):
+    """For each A name: positions of the B names that can be part of a match, and
+    their Jaro-Winkler similarities.
+
+    Shared character classes bound the shared characters from above, so most
+    pairs are settled by counting.
+    """
+    share = _bounds(threshold)[0]
+    codes_a, len_a = encode(names_a, PAD_A)
+    codes_b, len_b = encode(names_b, PAD_B)
+    counts_a, counts_b = _letter_counts(codes_a, len_a), _letter_counts(codes_b, len_b)
+    step = max(1, NAME_PAIRS // len(names_b))
+    for start in range(0, len(names_a), step):
+        part = slice(start, start + step)
+        common = np.zeros((len(codes_a[part]), len(names_b)), dtype=np.int32)
+        for letter in range(LETTERS):
+            common += np.minimum(counts_a[part, letter, None], counts_b[None, :, letter])
+        size_a, size_b = np.maximum(len_a[part, None], 1), np.maximum(len_b[None, :], 1)
+        empty = (len_a[part, None] == 0) & (len_b[None, :] == 0)
+        row, col = np.nonzero((common / size_a + common / size_b >= share - _EPS) | empty)
+        row += start
+        width_a, width_b = int(len_a[part].max(initial=1)), codes_b.shape[1]
+        similarity = jaro_winkler_rows(
+            codes_a[row, : max(width_a, 1)], len_a[row], codes_b[col, :width_b], len_b[col]
+        )
+        ends = np.searchsorted(row, np.arange(start, start + len(common) + 1))
+        for i in range(len(common)):
+            here = slice(ends[i], ends[i + 1])
+            yield col[here], similarity[here]
+
+
 def _cell_hits(
     wanted: pd.DataFrame, others: pd.DataFrame, threshold: float, all_pairs: bool
 ) -> tuple[list, list]:
     """Row positions of the pairs in a cell that reach the threshold; only the
     first partner of each wanted row unless ``all_pairs``."""
-    at, names = pd.factorize(others["name_b"])
-    order = sorted(range(len(names)), key=lambda i: len(names[i]))
-    blocks = [order[i : i + 4096] for i in range(0, len(order), 4096)]
-    encoded = [(block, *encode([names[i] for i in block], PAD_B)) for block in blocks]
-    prices = others["price_b"].to_numpy()
+    at, names_b = pd.factorize(others["name_b"])
+    mine, names_a = pd.factorize(wanted["name_a"])
+    prices_a, prices_b = wanted["price_a"].to_numpy(), others["price_b"].to_numpy()
+    by_name = np.argsort(mine, kind="stable")
+    ends = np.searchsorted(mine[by_name], np.arange(len(names_a) + 1))
     rows_a, rows_b = [], []
-    for name, mine in wanted.groupby("name_a").indices.items():
-        one, length = encode([name], PAD_A)
-        by_name = np.empty(len(names))
-        for block, codes, lengths in encoded:
-            by_name[block] = jaro_winkler_rows(one, length, codes, lengths)
-        part = NAME_WEIGHT * by_name[at]
-        able = np.flatnonzero(part + PRICE_WEIGHT >= threshold - _EPS)
-        for row in mine if len(able) else ():
-            price, other = wanted["price_a"].iat[row], prices[able]
+    similar = _similar_names(list(names_a), list(names_b), threshold)
+    for i, (positions, similarity) in enumerate(similar):
+        part = np.full(len(names_b), -np.inf)
+        part[positions] = NAME_WEIGHT * similarity
+        able = np.flatnonzero(part[at] + PRICE_WEIGHT >= threshold - _EPS)
+        part, other = part[at[able]], prices_b[able]
+        for row in by_name[ends[i] : ends[i + 1]] if len(able) else ():
+            price = prices_a[row]
             top = np.maximum(price, other)
             with np.errstate(divide="ignore", invalid="ignore"):
                 close = np.where(top > 0, 1 - np.abs(price - other) / top, 1.0)
-            found = able[part[able] + PRICE_WEIGHT * close >= threshold]
+            found = able[part + PRICE_WEIGHT * close >= threshold]
             found = found if all_pairs else found[:1]
             rows_a.extend([row] * len(found))
             rows_b.extend(found)
