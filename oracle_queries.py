@@ -159,7 +159,7 @@ def _aggregates(table: str, keys: str, *extra: str) -> str:
 _MEASURES = (
     "count(*) AS count",
     "sum(l_quantity) AS sum_l_quantity",
-    "round(avg(l_discount), 8) AS avg_l_discount",
+    "round(avg(l_discount), 10) AS avg_l_discount",
     "min(l_extendedprice) AS min_l_extendedprice",
     "max(l_extendedprice) AS max_l_extendedprice",
 )
@@ -317,7 +317,7 @@ ORACLE: dict[str, str] = {
            WHERE business_category = 'Standard'"""
     ),
     "having_avg": _q(
-        """SELECT name, round(avg(discount_price), 4) AS avg_price FROM catalog_b GROUP BY name
+        """SELECT name, round(avg(discount_price), 9) AS avg_price FROM catalog_b GROUP BY name
            HAVING avg(discount_price) > 2500"""
     ),
     "having_sum": """SELECT l_suppkey, sum(l_quantity) AS sum_quantity, count(*) AS count
@@ -406,7 +406,7 @@ ORACLE: dict[str, str] = {
            GROUP BY business_type"""
     ),
     "agg_sum": _aggregates("lineitem", "l_partkey", "sum(l_quantity) AS sum_l_quantity"),
-    "agg_avg": _aggregates("lineitem", "l_suppkey", "round(avg(l_quantity), 6) AS avg_l_quantity"),
+    "agg_avg": _aggregates("lineitem", "l_suppkey", "round(avg(l_quantity), 10) AS avg_l_quantity"),
     "agg_min": _aggregates("orders", "o_custkey", "min(o_totalprice) AS min_o_totalprice"),
     "agg_max": _aggregates("orders", "o_custkey", "max(o_totalprice) AS max_o_totalprice"),
     "agg_global": """SELECT count(*) AS count, sum(l_quantity) AS sum_l_quantity,
@@ -481,7 +481,7 @@ ORACLE: dict[str, str] = {
         FROM part)""",
     # SQL surface
     "sql_over_views": _q(
-        """SELECT name, round(discount_price, 4) AS discount_price FROM (
+        """SELECT name, round(discount_price, 9) AS discount_price FROM (
              SELECT name, discount_price FROM catalog_b WHERE ratings > 4.5
              UNION ALL SELECT nameitem, reduced FROM num_a WHERE lower(nameitem) LIKE '%ring%'
              UNION ALL SELECT business_type, avg(followers) FROM profiles

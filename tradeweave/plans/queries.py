@@ -336,7 +336,7 @@ def having_avg(spark, sf):
         .groupBy("name")
         .agg(F.avg("discount_price").alias("avg_price"))
         .where(F.col("avg_price") > 2500)
-        .select("name", F.round("avg_price", 4).alias("avg_price"))
+        .select("name", F.round("avg_price", 9).alias("avg_price"))
     )
 
 
@@ -538,7 +538,7 @@ def agg_sum(spark, sf):
 @query
 def agg_avg(spark, sf):
     grouped = op.aggregate(v.table(spark, sf, "lineitem"), ["l_suppkey"], [("avg", "l_quantity")])
-    return grouped.withColumn("avg_l_quantity", F.round("avg_l_quantity", 6))
+    return grouped.withColumn("avg_l_quantity", F.round("avg_l_quantity", 10))
 
 
 @query
@@ -581,7 +581,7 @@ MEASURES = [
 @query
 def group_single(spark, sf):
     grouped = op.aggregate(v.table(spark, sf, "lineitem"), ["l_returnflag"], MEASURES)
-    return grouped.withColumn("avg_l_discount", F.round("avg_l_discount", 8))
+    return grouped.withColumn("avg_l_discount", F.round("avg_l_discount", 10))
 
 
 @query
@@ -589,7 +589,7 @@ def group_multi(spark, sf):
     grouped = op.aggregate(
         v.table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], MEASURES
     )
-    return grouped.withColumn("avg_l_discount", F.round("avg_l_discount", 8))
+    return grouped.withColumn("avg_l_discount", F.round("avg_l_discount", 10))
 
 
 @query
@@ -784,7 +784,7 @@ def sql_over_views(spark, sf):
         SELECT business_type, avg(followers) FROM social.profiles
         GROUP BY business_type HAVING count(*) > 10
         """
-    ).select("name", F.round("discount_price", 4).alias("discount_price"))
+    ).select("name", F.round("discount_price", 9).alias("discount_price"))
 
 
 @query
