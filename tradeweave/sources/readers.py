@@ -100,7 +100,7 @@ def combined_view(
 
 
 def _clean(df: DataFrame, text: Sequence[str], prices: Sequence[str]) -> DataFrame:
-    """Trim text, blank to null, price text to numbers; unreadable rows set aside."""
+    """Trim text, blank to null, price text to numbers."""
     tidy = {c: F.nullif(F.trim(c), F.lit("")) for c in text}
     return df.withColumns({**tidy, **{c: price_to_number(c) for c in prices}})
 
@@ -117,7 +117,10 @@ def ingest_csv(
     Lines that do not fit the schema stay in the result, with the raw line in
     ``_corrupt_record`` when the schema has that column.
     """
-    raw = spark.read.csv(
+    # With pruning, a line is only checked against the columns a query happens to
+    # use, and what counts as broken would vary.
+    reader = spark.read.option("columnPruning", CORRUPT not in schema.names)
+    raw = reader.csv(
         path,
         schema=schema,
         header=True,
