@@ -5,7 +5,7 @@ import pytest
 from conftest import plan_of, rows
 from test_functions import reference_jaro_winkler
 
-from tradeweave.operators import entity, entity_match, entity_match_pairs, similarity_join
+from tradeweave.operators import Rule, entity, entity_match, entity_match_pairs, similarity_join
 
 SCHEMA = (
     "name string, category string, ratings double, discount_price decimal(10,2),"
@@ -51,7 +51,7 @@ def test_members_equal_brute_force(spark, threshold, monkeypatch):
     rng = random.Random(int(threshold * 100))
     left, right = random_products(rng, 45), random_products(rng, 40)
     want_a, want_b, _ = brute_force(left, right, threshold)
-    found = entity_match(frame(spark, left, "a"), frame(spark, right, "b"), threshold)
+    found = entity_match(frame(spark, left, "a"), frame(spark, right, "b"), Rule(threshold))
     assert matched(found, "a") == want_a
     assert matched(found, "b") == want_b
     assert len(rows(found)) == len(set(rows(found)))
@@ -68,7 +68,7 @@ def test_pairs_equal_brute_force(spark, threshold, ranked, monkeypatch):
     right += [("Small ring by brand#7", 95.0), ("small rings brand#7", 99.0)]
     _, _, pairs = brute_force(left, right, threshold)
     want = {(a[0].lower(), a[1], b[0].lower(), b[1]) for a, b in pairs}
-    found = entity_match_pairs(frame(spark, left, "a"), frame(spark, right, "b"), threshold)
+    found = entity_match_pairs(frame(spark, left, "a"), frame(spark, right, "b"), Rule(threshold))
     got = [(r["name_a"], r["price_a"], r["name_b"], r["price_b"]) for r in found.collect()]
     assert len(got) == len(set(got))
     assert set(got) == want
@@ -93,8 +93,21 @@ def test_no_cartesian_product(spark):
     left, right = (frame(spark, random_products(rng, 20), s) for s in "ab")
     for plan in (
         plan_of(entity_match(left, right)),
-        plan_of(entity_match_pairs(left, right, 0.95)),
-        plan_of(entity_match_pairs(left, right, 0.6)),
+        plan_of(entity_match_pairs(left, right, Rule(0.95))),
+        plan_of(entity_match_pairs(left, right, Rule(0.6))),
     ):
         assert "CartesianProduct" not in plan
         assert "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.9])
+def test_text_only_rule(spark, threshold):
+    rng = random.Random(11)
+    links = [["".join(rng.choices("img/ab1.", k=rng.randint(0, 9))) for _ in range(40)] for _ in "ab"]
+    a, b = (spark.createDataFrame([(x,) for x in side], "image string") for side in links)
+    rule = Rule(threshold, 1.0, 0.0, "image", None)
+    pairs = [(x, y) for x in links[0] for y in links[1] if reference_jaro_winkler(x, y) >= threshold]
+    found = [r["image"] for r in entity_match(a, b, rule).collect()]
+    assert sorted(found) == sorted([*{x for x, _ in pairs}, *{y for _, y in pairs}])
+    got = {(r["name_a"], r["name_b"]) for r in entity_match_pairs(a, b, rule).collect()}
+    assert got == set(pairs)

@@ -1,4 +1,4 @@
-from tradeweave.operators.entity import entity_match, entity_match_pairs, matched_keys
+from tradeweave.operators.entity import Rule, entity_match, entity_match_pairs, matched_keys
 from tradeweave.operators.overlap import (
     common_rows,
     exclusive_rows,
@@ -32,6 +32,7 @@ from tradeweave.operators.schema_match import (
 from tradeweave.operators.similarity_join import grid_match, overlap_pairs, substring_pairs
 
 __all__ = [
+    "Rule",
     "aggregate",
     "column_overlap",
     "common_rows",

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -38,9 +39,9 @@ from tradeweave.operators.similarity_join import grid_match, overlap_pairs
 from tradeweave.workspace import materialize
 
 # Fixed values of the score.
+THRESHOLD = 0.7
 NAME_WEIGHT = 0.7
 PRICE_WEIGHT = 0.3
-THRESHOLD = 0.7
 
 # Expected rows per window group and rows per grid cell side.
 GROUP_ROWS = 2_000_000
@@ -56,38 +57,60 @@ PREFIX_SHARE = 1.5
 _EPS = 1e-9
 
 
-def _score(names: Column, prices: Column) -> Column:
-    return NAME_WEIGHT * names + PRICE_WEIGHT * prices
+@dataclass(frozen=True)
+class Rule:
+    """When two products match, and on which columns.
 
+    The defaults are the product rule.  Another text column with weights (1, 0)
+    and no price compares texts only, image links for example.
+    """
 
-def _bounds(threshold: float) -> tuple[float, float]:
-    """(shared-character bound, smallest price similarity) a match must reach."""
-    jw = (threshold - PRICE_WEIGHT) / NAME_WEIGHT
-    jaro = jw if jw <= 0.7 else max(0.7, (jw - 0.4) / 0.6)
-    return 3 * jaro - 1, (threshold - NAME_WEIGHT) / PRICE_WEIGHT
+    threshold: float = THRESHOLD
+    name_weight: float = NAME_WEIGHT
+    price_weight: float = PRICE_WEIGHT
+    name: str = "name"
+    price: str | None = "discount_price"
 
+    def score(self, names, prices):
+        return self.name_weight * names + self.price_weight * prices
 
-def _shared_characters(threshold: float, prices: Column) -> Column:
-    """The bound of ``_bounds`` for a pair whose price similarity is known, at a
-    threshold strict enough for ``_prefixes_pay``."""
-    jw = (threshold - PRICE_WEIGHT * prices) / NAME_WEIGHT
-    return (jw - 0.4) / 0.2 - 1
+    @property
+    def share(self) -> float:
+        """The shared-character bound (see overlap_pairs) of any match."""
+        jw = (self.threshold - self.price_weight) / self.name_weight
+        return 3 * (jw if jw <= 0.7 else max(0.7, (jw - 0.4) / 0.6)) - 1
 
+    @property
+    def price_share(self) -> float:
+        """The smallest price similarity a match can have; 0 if any will do."""
+        if not self.price_weight:
+            return 0.0
+        return max(0.0, (self.threshold - self.name_weight) / self.price_weight)
 
-def _keys(df: DataFrame, side: str) -> DataFrame:
-    return (
-        df.select(
-            F.lit(side).alias("side"),
-            F.lower("name").alias("name"),
-            F.col("discount_price").cast("double").alias("price"),
-        )
-        .dropna()
-        .distinct()
-    )
+    @property
+    def prefixes_pay(self) -> bool:
+        return self.share >= PREFIX_SHARE and (self.price_share > 0 or not self.price_weight)
+
+    def share_at(self, prices: Column) -> Column:
+        """``share`` of a pair whose price similarity is known, where prefixes pay."""
+        jw = (self.threshold - self.price_weight * prices) / self.name_weight
+        return (jw - 0.4) / 0.2 - 1
+
+    def key(self, df: DataFrame) -> dict[str, Column]:
+        """What is compared: the lower-cased text and the price as a number."""
+        price = F.lit(0.0) if self.price is None else df[self.price].cast("double")
+        return {"name": F.lower(df[self.name]), "price": price}
+
+
+def _keys(df: DataFrame, side: str, rule: Rule) -> DataFrame:
+    key = [value.alias(name) for name, value in rule.key(df).items()]
+    return df.select(F.lit(side).alias("side"), *key).dropna().distinct()
 
 
 def _price_bands(price_share: float) -> Callable[[str], Column]:
     """Price bands such that similar enough prices are at most one band apart."""
+    if price_share <= 0:
+        return lambda price: F.lit(0).cast("long")
     width = max(-math.log(min(price_share, 1.0)), _EPS) * (1 + _EPS)
 
     def band(price: str) -> Column:
@@ -97,80 +120,68 @@ def _price_bands(price_share: float) -> Callable[[str], Column]:
     return band
 
 
-def _prefixes_pay(threshold: float) -> bool:
-    share, price_share = _bounds(threshold)
-    return share >= PREFIX_SHARE and price_share > 0
-
-
-def _candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (name_a, price_a, …, name_b, price_b, …) that can reach a threshold
-    strict enough for ``_prefixes_pay``."""
-    share, price_share = _bounds(threshold)
-    band = _price_bands(price_share)
+def _candidates(left: DataFrame, right: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (name_a, price_a, …, name_b, price_b, …) that can match under a rule
+    strict enough for prefixes to pay."""
+    band = _price_bands(rule.price_share)
     near = F.sequence(band("price_b") - 1, band("price_b") + 1)
     return overlap_pairs(
         left.withColumn("__band_a", band("price_a")),
         right.withColumn("__band_b", F.explode(near)),
         "name_a",
         "name_b",
-        share,
-        _shared_characters(threshold, price_similarity("price_a", "price_b")),
+        rule.share,
+        rule.share_at(price_similarity("price_a", "price_b")),
         ("__band_a", "__band_b"),
     )
 
 
-def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
+def _scored(pairs: DataFrame, rule: Rule) -> DataFrame:
     return (
         pairs.withColumn("name_similarity", jaro_winkler_once("name_a", "name_b"))
         .withColumn("price_similarity", price_similarity("price_a", "price_b"))
-        .withColumn("score", _score(F.col("name_similarity"), F.col("price_similarity")))
-        .where(F.col("score") >= threshold)
+        .withColumn("score", rule.score(F.col("name_similarity"), F.col("price_similarity")))
+        .where(F.col("score") >= rule.threshold)
     )
 
 
-def entity_match_pairs(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of distinct (lower-cased name, price) at or above the threshold.
+def entity_match_pairs(a: DataFrame, b: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs of distinct (lower-cased name, price) that match.
 
     ``rows_a`` and ``rows_b`` count the products behind each key, so copies add
-    no pairs.  The result grows with the number of pairs: meant for strict
-    thresholds.
+    no pairs.  The result grows with the number of pairs: meant for strict rules.
     """
 
     def counted(df: DataFrame, side: str) -> DataFrame:
-        return (
-            df.select(
-                F.lower("name").alias(f"name_{side}"),
-                F.col("discount_price").cast("double").alias(f"price_{side}"),
-            )
-            .dropna()
-            .groupBy(f"name_{side}", f"price_{side}")
-            .agg(F.count(F.lit(1)).alias(f"rows_{side}"))
-        )
+        key = [value.alias(f"{name}_{side}") for name, value in rule.key(df).items()]
+        names = [f"name_{side}", f"price_{side}"]
+        rows = F.count(F.lit(1)).alias(f"rows_{side}")
+        return df.select(*key).dropna().groupBy(*names).agg(rows)
 
     keys_a = materialize(counted(a, "a"), "entity-keys-a")
     keys_b = materialize(counted(b, "b"), "entity-keys-b")
-    if _prefixes_pay(threshold):
-        pairs = _candidates(keys_a, keys_b, threshold)
+    if rule.prefixes_pay:
+        pairs = _candidates(keys_a, keys_b, rule)
     else:
-        pairs = _grid(keys_a, keys_b, keys_a.count(), keys_b.count(), threshold, all_pairs=True)
-    return _scored(pairs, threshold).select(
+        pairs = _grid(keys_a, keys_b, keys_a.count(), keys_b.count(), rule, all_pairs=True)
+    return _scored(pairs, rule).select(
         "name_a", "price_a", "rows_a", "name_b", "price_b", "rows_b",
         "name_similarity", "price_similarity", "score",
     )
 
 
-def _same_name_hits(keys: DataFrame, threshold: float) -> DataFrame:
+def _same_name_hits(keys: DataFrame, rule: Rule) -> DataFrame:
     """Keys whose own name occurs on the other side at a close enough price."""
     extremes = keys.groupBy(
         F.when(F.col("side") == "a", "b").otherwise("a").alias("side"), "name"
     ).agg(F.min("price").alias("low"), F.max("price").alias("high"))
     close = F.greatest(price_similarity("price", "low"), price_similarity("price", "high"))
     return keys.join(extremes, ["side", "name"]).select(
-        "side", "name", "price", (_score(F.lit(1.0), close) >= threshold).alias("hit")
+        "side", "name", "price", (rule.score(F.lit(1.0), close) >= rule.threshold).alias("hit")
     )
 
 
-def _near_price_hits(keys: DataFrame, total: int, threshold: float) -> DataFrame:
+def _near_price_hits(keys: DataFrame, total: int, rule: Rule) -> DataFrame:
     """Keys scored against the nearest prices of the other side in their blocks.
 
     A block is a name feature within a 5 % price band.  A block too big for one
@@ -214,11 +225,11 @@ def _near_price_hits(keys: DataFrame, total: int, threshold: float) -> DataFrame
     tried = blocked.withColumns({"below": nearest(upward), "above": nearest(downward)})
 
     def hit(other: str) -> Column:
-        reached = _score(
+        reached = rule.score(
             jaro_winkler(F.col("name"), F.col(f"{other}.name")),
             price_similarity("price", f"{other}.price"),
         )
-        return F.coalesce(reached >= threshold, F.lit(False))
+        return F.coalesce(reached >= rule.threshold, F.lit(False))
 
     return tried.select("side", "name", "price", (hit("below") | hit("above")).alias("hit"))
 
@@ -231,14 +242,13 @@ def _letter_counts(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return counts
 
 
-def _similar_names(names_a: list[str], names_b: list[str], threshold: float):
+def _similar_names(names_a: list[str], names_b: list[str], share: float):
     """For each A name: positions of the B names that can be part of a match, and
     their Jaro-Winkler similarities.
 
     Shared character classes bound the shared characters from above, so most
     pairs are settled by counting.
     """
-    share = _bounds(threshold)[0]
     codes_a, len_a = encode(names_a, PAD_A)
     codes_b, len_b = encode(names_b, PAD_B)
     counts_a, counts_b = _letter_counts(codes_a, len_a), _letter_counts(codes_b, len_b)
@@ -263,7 +273,7 @@ def _similar_names(names_a: list[str], names_b: list[str], threshold: float):
 
 
 def _cell_hits(
-    wanted: pd.DataFrame, others: pd.DataFrame, threshold: float, all_pairs: bool
+    wanted: pd.DataFrame, others: pd.DataFrame, rule: Rule, all_pairs: bool
 ) -> tuple[list, list]:
     """Row positions of the pairs in a cell that reach the threshold; only the
     first partner of each wanted row unless ``all_pairs``."""
@@ -273,18 +283,18 @@ def _cell_hits(
     by_name = np.argsort(mine, kind="stable")
     ends = np.searchsorted(mine[by_name], np.arange(len(names_a) + 1))
     rows_a, rows_b = [], []
-    similar = _similar_names(list(names_a), list(names_b), threshold)
+    similar = _similar_names(list(names_a), list(names_b), rule.share)
     for i, (positions, similarity) in enumerate(similar):
         part = np.full(len(names_b), -np.inf)
-        part[positions] = NAME_WEIGHT * similarity
-        able = np.flatnonzero(part[at] + PRICE_WEIGHT >= threshold - _EPS)
+        part[positions] = rule.name_weight * similarity
+        able = np.flatnonzero(part[at] + rule.price_weight >= rule.threshold - _EPS)
         part, other = part[at[able]], prices_b[able]
         for row in by_name[ends[i] : ends[i + 1]] if len(able) else ():
             price = prices_a[row]
             top = np.maximum(price, other)
             with np.errstate(divide="ignore", invalid="ignore"):
                 close = np.where(top > 0, 1 - np.abs(price - other) / top, 1.0)
-            found = able[part + PRICE_WEIGHT * close >= threshold]
+            found = able[part + rule.price_weight * close >= rule.threshold]
             found = found if all_pairs else found[:1]
             rows_a.extend([row] * len(found))
             rows_b.extend(found)
@@ -296,7 +306,7 @@ def _grid(
     others: DataFrame,
     n_wanted: int,
     n_others: int,
-    threshold: float,
+    rule: Rule,
     all_pairs: bool,
 ) -> DataFrame:
     """Wanted rows with a partner or, if ``all_pairs``, all pairs of rows."""
@@ -306,7 +316,7 @@ def _grid(
     def decide(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows_a, rows_b = [], []
         if len(left) and len(right):
-            rows_a, rows_b = _cell_hits(left, right, threshold, all_pairs)
+            rows_a, rows_b = _cell_hits(left, right, rule, all_pairs)
         mine = left[columns_a].iloc[rows_a].reset_index(drop=True)
         if not all_pairs:
             return mine
@@ -319,27 +329,27 @@ def _grid(
 
 
 def _exact_hits(
-    open_keys: DataFrame, other_keys: DataFrame, n_open: int, n_other: int, threshold: float
+    open_keys: DataFrame, other_keys: DataFrame, n_open: int, n_other: int, rule: Rule
 ) -> DataFrame:
     """The open keys that have a partner anywhere among ``other_keys``."""
     wanted = open_keys.select(F.col("name").alias("name_a"), F.col("price").alias("price_a"))
     others = other_keys.select(F.col("name").alias("name_b"), F.col("price").alias("price_b"))
-    if _prefixes_pay(threshold):
-        found = _scored(_candidates(wanted, others, threshold), threshold)
+    if rule.prefixes_pay:
+        found = _scored(_candidates(wanted, others, rule), rule)
     else:
-        found = _grid(wanted, others, n_open, n_other, threshold, all_pairs=False)
+        found = _grid(wanted, others, n_open, n_other, rule, all_pairs=False)
     return found.select(F.col("name_a").alias("name"), F.col("price_a").alias("price")).distinct()
 
 
-def matched_keys(a: DataFrame, b: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def matched_keys(a: DataFrame, b: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """(side, name, price) of every distinct key with a partner on the other side."""
-    keys = materialize(_keys(a, "a").unionByName(_keys(b, "b")), "entity-keys")
+    keys = materialize(_keys(a, "a", rule).unionByName(_keys(b, "b", rule)), "entity-keys")
     sizes = {r["side"]: r["count"] for r in keys.groupBy("side").count().collect()}
     if len(sizes) < 2:
         return keys.limit(0)
 
-    tried = _same_name_hits(keys, threshold).unionByName(
-        _near_price_hits(keys, sum(sizes.values()), threshold)
+    tried = _same_name_hits(keys, rule).unionByName(
+        _near_price_hits(keys, sum(sizes.values()), rule)
     )
     tried = materialize(
         tried.groupBy("side", "name", "price").agg(F.max("hit").alias("hit")), "entity-tried"
@@ -355,25 +365,24 @@ def matched_keys(a: DataFrame, b: DataFrame, threshold: float = THRESHOLD) -> Da
                 keys.where(F.col("side") == other),
                 n_open[side],
                 sizes[other],
-                threshold,
+                rule,
             )
             found.append(hits.select(F.lit(side).alias("side"), "name", "price"))
     return reduce(DataFrame.unionByName, found)
 
 
-def entity_match(a: DataFrame, b: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def entity_match(a: DataFrame, b: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Distinct products of both catalogs that have a partner in the other one.
 
-    Both frames follow the mediated contract (see ``sinks.contract``).
+    Both frames have the same columns, those the rule names among them; the
+    default rule suits the mediated contract (see ``sinks.contract``).
     """
-    keys = matched_keys(a, b, threshold)
+    keys = matched_keys(a, b, rule)
 
     def members(df: DataFrame, side: str) -> DataFrame:
         mine = keys.where(F.col("side") == side)
         rows = df.distinct()
-        same = (F.lower(rows["name"]) == mine["name"]) & (
-            rows["discount_price"].cast("double") == mine["price"]
-        )
+        same = [value == mine[name] for name, value in rule.key(rows).items()]
         return rows.join(mine, same, "left_semi")
 
     return members(a, "a").unionByName(members(b, "b"))

@@ -432,7 +432,7 @@ def entity_match(spark, sf):
 
 @query
 def entity_match_strict(spark, sf):
-    return op.entity_match(v.mediated_a(spark, sf), v.mediated_b(spark, sf), STRICT)
+    return op.entity_match(v.mediated_a(spark, sf), v.mediated_b(spark, sf), op.Rule(STRICT))
 
 
 def _described(spark, sf):
@@ -446,7 +446,7 @@ def _described(spark, sf):
 
 @query
 def entity_match_pairs(spark, sf):
-    pairs = op.entity_match_pairs(*_described(spark, sf), PAIRS)
+    pairs = op.entity_match_pairs(*_described(spark, sf), op.Rule(PAIRS))
     return pairs.withColumns(
         {c: F.round(c, 6) for c in ("name_similarity", "price_similarity", "score")}
     )
