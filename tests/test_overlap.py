@@ -1,4 +1,4 @@
-from conftest import rows
+from conftest import plan_of, rows
 
 from tradeweave.operators import (
     common_rows,
@@ -65,3 +65,6 @@ def test_top_rows_break_ties_by_id(spark):
         ("most_followed", '{"_id":2,"user_name":"bob","followers":30}'),
         ("top", '{"_id":10,"email":"z@x","product":"s"}'),
     ]
+    assert "rangepartitioning" not in plan_of(report)
+    none = top_rows_report({"top": (sales(spark).limit(0), "_id", "_id")})
+    assert none.collect() == [("top", None)]

@@ -20,7 +20,6 @@ from tradeweave.operators.relational import (
     select_available,
     select_mapped,
     top_k_federated,
-    top_row,
     union_complete,
 )
 from tradeweave.operators.schema_match import (
@@ -60,7 +59,6 @@ __all__ = [
     "substring_pairs",
     "tfidf_rank",
     "top_k_federated",
-    "top_row",
     "top_rows_report",
     "union_complete",
 ]

@@ -15,8 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeweave.operators.relational import top_row
-
 
 def _same(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> Column:
     return left[key].eqNullSafe(right[key]) if null_safe else left[key] == right[key]
@@ -74,10 +72,12 @@ def lookup_nested(
         .agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("__chunks"))
         .where("__chunks > 1")
     )
+    # One look at the key column decides which plan is needed.
+    some_frequent = not frequent.isEmpty()
     is_frequent = right[key].eqNullSafe(frequent["__key"])
-    rare = (
-        right.join(frequent, is_frequent, "left_anti")
-        .groupBy(F.col(key).alias("__key"))
+    rest = right.join(frequent, is_frequent, "left_anti") if some_frequent else right
+    arrays = (
+        rest.groupBy(F.col(key).alias("__key"))
         .agg(F.collect_list(body).alias(name))
         .withColumn("chunk", F.lit(0))
     )
@@ -101,7 +101,8 @@ def lookup_nested(
     split = dealt.groupBy("__key", "chunk").agg(
         F.flatten(F.collect_list("__rows")).alias(name)
     )
-    arrays = rare.unionByName(split)
+    if some_frequent:
+        arrays = arrays.unionByName(split)
     same = (
         left[key].eqNullSafe(arrays["__key"]) if null_safe else left[key] == arrays["__key"]
     )
@@ -113,14 +114,27 @@ def lookup_nested(
 
 
 def top_rows_report(winners: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
-    """(type, data) with one whole row as JSON per entry.
+    """(type, data) with one whole row as JSON per entry, null for an empty frame.
 
-    ``winners`` maps a type to (frame, column to maximise, tie column).
+    ``winners`` maps a type to (frame, numeric column to maximise, tie column);
+    the smallest tie value wins.  All entries over one frame share a scan, and
+    each task hands on a single row per entry.
     """
-    rows = [
-        top_row(df, column, tie).select(
-            F.lit(kind).alias("type"), F.to_json(F.struct(*df.columns)).alias("data")
-        )
-        for kind, (df, column, tie) in winners.items()
-    ]
-    return reduce(DataFrame.union, rows)
+    frames = {id(df): df for df, _, _ in winners.values()}
+    reports = []
+    for key, df in frames.items():
+        best = {
+            kind: F.min_by(
+                F.struct(*df.columns),
+                F.struct(F.col(column).isNull(), -F.col(column), F.col(tie)),
+            )
+            for kind, (frame, column, tie) in winners.items()
+            if id(frame) == key
+        }
+        found = df.agg(*[row.alias(kind) for kind, row in best.items()])
+        entries = [
+            F.struct(F.lit(kind).alias("type"), F.to_json(F.col(f"`{kind}`")).alias("data"))
+            for kind in best
+        ]
+        reports.append(found.select(F.inline(F.array(*entries))))
+    return reduce(DataFrame.union, reports)

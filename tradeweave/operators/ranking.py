@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeweave.functions import jaro_winkler
+from tradeweave.workspace import materialize
 
 # Fixed value: a token is two or more word characters.
 TOKEN = r"(?U)\b\w\w+\b"
@@ -26,7 +27,9 @@ def tfidf_rank(candidates: DataFrame, column: str, query: str) -> DataFrame:
     length-normalised vectors.
     """
     spark = candidates.sparkSession
-    names = candidates.select(F.col(column).alias("name")).dropna().distinct()
+    names = materialize(
+        candidates.select(F.col(column).alias("name")).dropna().distinct(), "rank-names"
+    )
     asked = (
         spark.range(1)
         .select(F.explode(_tokens(F.lit(query))).alias("token"))
@@ -40,19 +43,21 @@ def tfidf_rank(candidates: DataFrame, column: str, query: str) -> DataFrame:
         .groupBy("name", "token")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    n_docs = names.agg(F.count(F.lit(1)) + 1).scalar()
+    n_docs = names.count() + 1
     in_query = F.col("token").isin(*asked_tokens) if asked_tokens else F.lit(False)
-    found = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    found = materialize(
+        postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "rank-tokens"
+    )
     idf = found.select(
         "token",
         "n",
-        (F.log((1 + n_docs) / (1 + F.col("n") + in_query.cast("int"))) + 1).alias("idf"),
+        (F.log((1.0 + n_docs) / (1 + F.col("n") + in_query.cast("int"))) + 1).alias("idf"),
     )
 
     # A token such as a brand word sits in most names.  Those few are joined by
     # broadcast, and their postings are spread evenly over the shuffle that
     # joins the rest.
-    n_postings = found.agg(F.sum("n")).scalar()
+    n_postings = found.agg(F.sum("n")).first()[0] or 0
     frequent = idf.where(F.col("n") * FREQUENT >= n_postings).select(
         "token", F.col("idf").alias("idf_frequent")
     )
@@ -78,7 +83,7 @@ def tfidf_rank(candidates: DataFrame, column: str, query: str) -> DataFrame:
     )
     asked_idf = (
         asked.join(idf.where(in_query).select("token", "idf"), "token", "left")
-        .select((F.col("tf") * F.coalesce("idf", F.log((1 + n_docs) / F.lit(2)) + 1)).alias("w"))
+        .select((F.col("tf") * F.coalesce("idf", F.log(F.lit((1 + n_docs) / 2)) + 1)).alias("w"))
         .agg(F.sqrt(F.sum(F.col("w") * F.col("w"))))
     )
     weight = F.col("tf") * F.col("idf")

@@ -108,8 +108,3 @@ def merge_rows(joined: DataFrame, left: Sequence[str], right: Sequence[str]) ->
     """Select list that merges two joined rows; the right value wins on a shared
     name.  ``joined`` holds them under the aliases ``l`` and ``r``."""
     return [joined[f"l.{c}"] for c in left if c not in right] + [joined[f"r.{c}"] for c in right]
-
-
-def top_row(df: DataFrame, column: str, tie: str) -> DataFrame:
-    """The single row with the largest value; ties go to the smallest ``tie``."""
-    return df.orderBy(F.desc_nulls_last(column), F.asc(tie)).limit(1)
