@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweave.llm import bpe, fingerprint, packing, quality, token_counts, toxicity, warc
+from tradeweave.llm import bpe, fingerprint, jaccard, packing, quality, token_counts, toxicity, warc
 from tradeweave.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
         op2_packing,
         op4_token_counts,
         op5_toxicity,
+        op6_jaccard_join,
         op7_fingerprints,
         op9_quality_rules,
         op10_warc_archive,
