@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweave.llm import bpe, fingerprint, jaccard, packing, quality, token_counts, toxicity, warc
+from tradeweave.llm import bpe, fingerprint, jaccard, packing, quality, suffix_dedup, token_counts, toxicity, warc
 from tradeweave.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     for f in (
         op1_bpe_round_trip,
         op2_packing,
+        op3_suffix_dedup,
         op4_token_counts,
         op5_toxicity,
         op6_jaccard_join,
