@@ -43,13 +43,22 @@ def run_starts(places: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.nd
     return valid[first], np.diff(np.append(first, len(valid)))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id, doc, digest, text``: ``doc`` and ``digest`` name a row.
+def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """``doc_id, doc, digest, text, row``: ``doc`` and ``digest`` name a row.
 
-    Rows that agree in both are repeated rows and get equal results.
+    Rows that agree in both are repeated rows and get equal results. With
+    ``carry``, ``row`` holds the other columns and whether the text is null.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("digest"), text.alias("text"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    row = F.struct(F.struct(*others).alias("other"), F.col("text").isNull().alias("no_text")) if carry else F.lit(None).cast("boolean")
+    return docs.select(
+        "doc_id",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(text).alias("digest"),
+        text.alias("text"),
+        row.alias("row"),
+    )
 
 
 RUNS = "doc long, digest long, start long, n long, anchor long, content binary"
@@ -63,12 +72,12 @@ def candidates(runs: DataFrame, label: str) -> DataFrame:
     return stored(runs.join(known, "anchor"), f"{label}-candidates")
 
 
-def with_candidates(rows: DataFrame, found: DataFrame, measures: dict, label: str) -> DataFrame:
-    """``rows`` with ``measures``; the text stays only where candidates are."""
+def with_candidates(rows: DataFrame, found: DataFrame, measures: dict, label: str, carry: bool = False) -> DataFrame:
+    """``rows`` with ``measures``; without ``carry`` the text stays only where candidates are."""
     keys = found.select("doc", "digest").distinct().withColumn("has", F.lit(True))
     joined = rows.join(keys, ["doc", "digest"], "left").withColumns(measures)
-    kept = F.when(F.col("has"), F.col("text")).alias("text")
-    return stored(joined.select("doc_id", "doc", "digest", *measures, kept), f"{label}-texts")
+    kept = F.col("text") if carry else F.when(F.col("has"), F.col("text")).alias("text")
+    return stored(joined.select("doc_id", "doc", "digest", *measures, kept, "row"), f"{label}-texts")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweave.llm import bpe, fingerprint, jaccard, packing, quality, suffix_dedup, token_counts, toxicity, warc
+from tradeweave.llm import bpe, fingerprint, jaccard, packing, quality, recompression, suffix_dedup, token_counts, toxicity, warc
 from tradeweave.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +64,7 @@ QUERIES = {
         op5_toxicity,
         op6_jaccard_join,
         op7_fingerprints,
+        op8_substring_dedup,
         op9_quality_rules,
         op10_warc_archive,
     )

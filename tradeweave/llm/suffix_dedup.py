@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeweave.llm.anchors import RUNS, candidates, keyed, leftmost_least, merged, run_starts, with_candidates
 from tradeweave.llm.common import raw_bytes, sliced, stored
@@ -317,6 +318,23 @@ def removed(texts: DataFrame, spans: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
+def shortened(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """``text, row``: texts without their spans; parts of characters at an edge go too."""
+    lists = spans.groupBy("doc", "digest").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    rows = texts.join(lists, ["doc", "digest"], "left").select("text", "row", "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", PIECE):
+            out = []
+            for text, spans in zip(raw_bytes(batch, "text"), batch.column("spans").to_pylist()):
+                gone = merged([(s["low"], s["high"]) for s in spans or ()])
+                ends = [0, *[x for span in gone for x in span], len(text)]
+                out.append(b"".join([text[a:b] for a, b in zip(ends[::2], ends[1::2])]).decode(errors="ignore"))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column("row")], ["text", "row"])
+
+    return rows.mapInArrow(run, T.StructType([T.StructField("text", T.StringType()), rows.schema["row"]]))
+
+
 def repeated_spans(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """``doc, digest, low, high``: bytes covered by strings that repeat."""
     strings = found.where("mixed").groupBy("anchor", "content").agg(F.count("*").alias("w"), F.min(F.struct("doc", "digest", "start", "n")).alias("at"))
@@ -337,3 +355,16 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     measures = {"n_bytes": F.octet_length("text").cast("long"), "sha": F.sha2("text", 256)}
     texts = with_candidates(rows, found, measures, "suffix")
     return removed(texts, repeated_spans(found, texts, length))
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with repeated strings taken out of the texts; a column ``n_chars`` follows them."""
+    rows = keyed(docs, carry=True)
+    found = candidates(runs(rows, length), "suffix")
+    texts = with_candidates(rows, found, {}, "suffix", carry=True)
+    short = shortened(texts, repeated_spans(found, texts, length))
+    text = F.when(~F.col("row.no_text"), F.col("text"))
+    columns = {c: F.col(f"row.other.`{c}`") for c in docs.columns if c != "text"} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.coalesce(F.char_length(text).cast(docs.schema["n_chars"].dataType), columns["n_chars"])
+    return short.select(*[columns[c].alias(c) for c in docs.columns])
