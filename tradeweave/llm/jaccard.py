@@ -6,8 +6,11 @@
 2. Classes that share a low shingle may link. The hashes are a random order, so
    two sets with similarity 0.75 share none of their ``NEED`` lowest with
    probability at most 4 ** -NEED (4e-15), the size of a hash collision.
-   Shingles of more than ``HOT`` classes are passed over in favour of the next
-   ones, unless a class has hardly any others.
+   For the same reason a class of which fewer than ``REPEATED`` low shingles
+   occur elsewhere has no partner (probability 3e-15; small sets, whose low
+   shingles are all, must share three in four). Shingles of more than ``HOT``
+   classes are passed over in favour of the next ones, unless a class has
+   hardly any others.
 3. Each low shingle has a hub, one of its classes. The classes that share a
    shingle with a hub form its tiles, one for each band of set sizes.
 4. In a tile, hashed bitmap signatures bound the overlap of two sets from above
@@ -42,8 +45,11 @@ N = 5
 #: Similarity as a fraction: 75 of 100.
 SHARE, OF = 75, 100
 LOW, NEED = 48, 24
-HOT = 256
+REPEATED = 10
+HOT = 64
 TILE = 512
+#: Ratio of the largest to the smallest set of a band.
+BAND = 4
 #: Words of 64 bits in a signature.
 SIGNATURE = 32
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -94,7 +100,8 @@ def sets(docs: DataFrame) -> DataFrame:
 
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``cls, set`` (sorted hashes as bytes) of the wanted classes (``cls, rep``)."""
-    rows = docs.select("doc_id", F.col("text").cast("string")).join(wanted, F.col("doc_id") == F.col("rep"))
+    # wanted classes grow with the input, so they are not left to be broadcast while they happen to be few
+    rows = docs.select("doc_id", F.col("text").cast("string")).join(wanted.hint("merge"), F.col("doc_id") == F.col("rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -118,6 +125,9 @@ def tiles(classes: DataFrame) -> DataFrame:
     ranked = known.withColumns(
         {"hot_before": F.sum("hot").over(own.orderBy("pos")), "hot_all": F.sum("hot").over(own)}
     )
+    repeats = F.count("*").over(own)
+    enough = F.when(F.col("held") < LOW, OF * repeats >= SHARE * F.col("held")).otherwise(repeats >= REPEATED)
+    ranked = ranked.withColumn("enough", enough).where("enough")
     few = F.col("held") - F.col("hot_all") < NEED
     kept = stored(
         ranked.where(few | (F.col("hot") == 0) & (F.col("pos") - F.col("hot_before") < NEED)).select("shingle", "cls", "rep", "n"),
@@ -130,9 +140,11 @@ def tiles(classes: DataFrame) -> DataFrame:
         .select("shingle", "hub")
     )
     members = kept.join(stored(hubs, "jaccard-hubs"), "shingle").select("hub.cls", "cls", "rep", "n").toDF("hub", "cls", "rep", "n").distinct()
-    band = F.floor(F.log(F.col("n")) / math.log(OF / SHARE)).cast("int")
-    # similar sizes are in one band or in adjacent ones, so every pair meets in some tile
-    placed = members.withColumn("band", F.explode(F.array(band, band + 1)))
+    # half a shingle keeps whole numbers off the edges of bands
+    band = F.floor(F.log(F.col("n") + 0.5) / math.log(BAND)).cast("int")
+    # the largest of a band also join the next one, so every pair of similar sizes meets
+    near = OF * F.col("n") >= SHARE * F.pow(F.lit(float(BAND)), band + 1)
+    placed = members.withColumn("band", F.explode(F.when(near, F.array(band, band + 1)).otherwise(F.array(band))))
     sized = placed.groupBy("hub", "band").agg(F.count("*").alias("m")).where("m > 1")
     return placed.join(stored(sized, "jaccard-sizes"), ["hub", "band"])
 
