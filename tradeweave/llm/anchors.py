@@ -19,6 +19,8 @@ from tradeweave.llm.common import stored
 PLACE_BITS = 26
 PLACE = np.uint64((1 << PLACE_BITS) - 1)
 NO_ID = -(1 << 63)
+#: Low bits of a run's place: number of windows, and part of a digest of the row's text.
+COUNT_BITS, DIGEST_BITS = 10, 22
 
 
 def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -55,27 +57,47 @@ def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     return docs.select(
         "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64(text).alias("digest"),
+        F.xxhash64(text).bitwiseAND(F.lit((1 << DIGEST_BITS) - 1)).alias("digest"),
         text.alias("text"),
         row.alias("row"),
     )
 
 
-RUNS = "doc long, digest long, start long, n long, anchor long, content binary"
+RUNS = "doc long, place long, anchor long, content long"
+
+
+def packed(start: np.ndarray, n: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Start, windows and row digest of runs in one number each: most runs are dropped after one shuffle."""
+    return start.astype(np.int64) << 32 | n.astype(np.int64) << DIGEST_BITS | digest.astype(np.int64)
 
 
 def candidates(runs: DataFrame, label: str) -> DataFrame:
-    """The runs whose anchor occurs again; ``mixed``: not all of its runs are equal."""
+    """``doc, digest, start, n, anchor, content`` of the runs whose anchor occurs again."""
     runs = stored(runs, f"{label}-runs")
-    known = runs.groupBy("anchor").agg(F.count("*").alias("c"), F.min("content").alias("least"), F.max("content").alias("most"))
-    known = stored(known.where("c > 1").select("anchor", (F.col("least") != F.col("most")).alias("mixed")), f"{label}-anchors")
-    return stored(runs.join(known, "anchor"), f"{label}-candidates")
+    known = stored(runs.groupBy("anchor").count().where("count > 1").select("anchor"), f"{label}-anchors")
+    place = F.col("place")
+    found = runs.join(known, "anchor").select(
+        "doc",
+        place.bitwiseAND(F.lit((1 << DIGEST_BITS) - 1)).alias("digest"),
+        F.shiftrightunsigned(place, 32).alias("start"),
+        F.shiftrightunsigned(place, DIGEST_BITS).bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).alias("n"),
+        "anchor",
+        "content",
+    )
+    return stored(found, f"{label}-candidates")
+
+
+def with_mixed(strings: DataFrame, label: str) -> DataFrame:
+    """``strings`` (a row for each anchor and content) with ``mixed``: the anchor has other contents."""
+    several = stored(strings.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("several")), f"{label}-mixed")
+    return strings.join(several, "anchor", "left").withColumn("mixed", F.coalesce("several", F.lit(False))).drop("several")
 
 
-def with_candidates(rows: DataFrame, found: DataFrame, measures: dict, label: str, carry: bool = False) -> DataFrame:
-    """``rows`` with ``measures``; without ``carry`` the text stays only where candidates are."""
-    keys = found.select("doc", "digest").distinct().withColumn("has", F.lit(True))
-    joined = rows.join(keys, ["doc", "digest"], "left").withColumns(measures)
+def with_candidates(rows: DataFrame, found: DataFrame, measures: tuple[str, ...], label: str, carry: bool = False) -> DataFrame:
+    """``rows`` with their ``measures``; without ``carry`` the text stays only where candidates are."""
+    # candidates grow with the input, so they are not left to be broadcast while they happen to be few
+    keys = found.select("doc", "digest").distinct().withColumn("has", F.lit(True)).hint("merge")
+    joined = rows.join(keys, ["doc", "digest"], "left")
     kept = F.col("text") if carry else F.when(F.col("has"), F.col("text")).alias("text")
     return stored(joined.select("doc_id", "doc", "digest", *measures, kept, "row"), f"{label}-texts")
 

@@ -8,8 +8,8 @@ symbols in their interior everywhere, without a shuffle to hand out numbers.
 Equal neighbours are in one class and never merge, so runs need no rounds of
 their own, and a run that a window cuts keeps its symbols.
 
-After ``ROUNDS`` rounds a symbol ends at a gap that depends on two words before
-it and two after it, and spans at most four words; every window of ``WINDOW``
+After ``ROUNDS`` rounds whether a symbol ends at a gap depends on four words
+before it and four after it, and a symbol spans at most eight words; every window of ``WINDOW``
 words thus has such gaps inside. The symbol around the gap with the least name
 is the window's anchor (see ``anchors``). Symbols that occur once rule out their
 windows; shared ones reveal repeats, which 128-bit digests of the windows'
@@ -31,13 +31,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradeweave.llm.anchors import RUNS, candidates, keyed, leftmost_least, merged, run_starts, with_candidates
+from tradeweave.llm.anchors import RUNS, candidates, keyed, leftmost_least, merged, packed, run_starts, with_candidates, with_mixed
 from tradeweave.llm.common import raw_bytes, sliced, stored
 from tradeweave.llm.words import WordHashes, mixed
 
 WINDOW = 20
-ROUNDS = 2
+ROUNDS = 3
 #: Words before and after a gap that decide whether symbols end there.
 MARGIN = 1 << (ROUNDS - 1)
 #: Words handled at once.
@@ -74,7 +75,7 @@ def window_anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarr
     return leftmost_least(order[MARGIN:], window - 2 * MARGIN + 1) + MARGIN, name
 
 
-def word_runs(words: np.ndarray, bounds: list[tuple[int, int]], window: int) -> Iterator[tuple[int, int, int, bytes]]:
+def word_runs(words: np.ndarray, bounds: list[tuple[int, int]], window: int) -> Iterator[tuple[int, int, int, int]]:
     """Start, windows, anchor and digest of the runs of the texts at ``bounds``."""
     if len(words) < window:
         return
@@ -84,7 +85,7 @@ def word_runs(words: np.ndarray, bounds: list[tuple[int, int]], window: int) ->
     anchors = name[places[starts]].view(np.int64)
     view = memoryview(words.view(np.uint8))
     for start, n, anchor in zip(starts.tolist(), counts.tolist(), anchors.tolist()):
-        yield start, n, anchor, xxhash.xxh3_128_digest(view[8 * start : 8 * (start + n + window - 1)])
+        yield start, n, anchor, xxhash.xxh3_64_intdigest(view[8 * start : 8 * (start + n + window - 1)])
 
 
 def runs(rows: DataFrame, window: int) -> DataFrame:
@@ -105,13 +106,11 @@ def runs(rows: DataFrame, window: int) -> DataFrame:
                 return pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc").take(own),  # noqa: B023
-                        batch.column("digest").take(own),  # noqa: B023
-                        pa.array(inside, pa.int64()),
-                        pa.array(n, pa.int64()),
+                        pa.array(packed(inside, np.array(n), batch.column("digest").take(own).to_numpy())),  # noqa: B023
                         pa.array(anchor, pa.int64()),
-                        pa.array(content, pa.binary()),
+                        pa.array(np.array(content, np.uint64).view(np.int64)),
                     ],
-                    ["doc", "digest", "start", "n", "anchor", "content"],
+                    ["doc", "place", "anchor", "content"],
                 )
 
             for i, text in enumerate(raw_bytes(batch, "text")):
@@ -160,10 +159,8 @@ def single_windows(texts: DataFrame, wanted: DataFrame, window: int) -> DataFram
 
 def later_spans(found: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """``doc, digest, low, high``: words covered by windows that also start earlier."""
-    firsts = found.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc", "start", "digest", "n")).alias("at"), F.count("*").alias("c"), F.first("mixed").alias("mixed")
-    )
-    firsts = stored(firsts, "recompression-firsts")
+    firsts = found.groupBy("anchor", "content").agg(F.min(F.struct("doc", "start", "digest", "n")).alias("at"), F.count("*").alias("c"))
+    firsts = stored(with_mixed(stored(firsts, "recompression-distinct"), "recompression"), "recompression-firsts")
     place = F.struct("doc", "start")
     again = found.select("doc", "digest", "start", "n", "anchor", "content").join(firsts.where("c > 1").select("anchor", "content", "at"), ["anchor", "content"])
     whole = again.where(place > F.struct("at.doc", "at.start")).select(
@@ -211,14 +208,26 @@ def removed(texts: DataFrame, spans: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept binary")
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of words and the digest of the words joined by spaces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            words = [x.split() for x in raw_bytes(batch, "text")]
+            shas = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([len(w) for w in words], pa.int64()), pa.array(shas, pa.string())], [*batch.schema.names, "n_words", "sha"]
+            )
+
+    extra = [T.StructField("n_words", T.LongType()), T.StructField("sha", T.StringType())]
+    return rows.mapInArrow(run, T.StructType([*rows.schema, *extra]))
+
+
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` and ``kept`` (null: nothing was removed)."""
     if window < 2 * MARGIN + 4:
         raise ValueError("a window needs room for a whole symbol")
     rows = keyed(docs)
     found = candidates(runs(rows, window), "recompression")
-    words = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")
-    count = F.when(F.expr(r"text rlike '[^\\x20\\x09-\\x0D]'"), F.size(words)).otherwise(0).cast("long")
-    joined = F.sha2(F.array_join(words, " "), 256)
-    texts = with_candidates(rows, found, {"n_words": count, "sha": joined}, "recompression")
+    texts = with_candidates(counted(rows), found, ("n_words", "sha"), "recompression")
     return removed(texts, later_spans(found, texts, window))

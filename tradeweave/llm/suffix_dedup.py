@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeweave.llm.anchors import RUNS, candidates, keyed, leftmost_least, merged, run_starts, with_candidates
+from tradeweave.llm.anchors import RUNS, candidates, keyed, leftmost_least, merged, packed, run_starts, with_candidates, with_mixed
 from tradeweave.llm.common import raw_bytes, sliced, stored
 from tradeweave.llm.words import mixed
 
@@ -51,7 +51,7 @@ def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
     return mixed(value)
 
 
-def byte_runs(data: bytes, bounds: list[tuple[int, int]], length: int) -> Iterator[tuple[int, int, int, bytes]]:
+def byte_runs(data: bytes, bounds: list[tuple[int, int]], length: int) -> Iterator[tuple[int, int, int, int]]:
     """Start, windows, anchor and digest of the runs of the texts at ``bounds`` in ``data``."""
     if len(data) < length:
         return
@@ -62,7 +62,7 @@ def byte_runs(data: bytes, bounds: list[tuple[int, int]], length: int) -> Iterat
     anchors = hashes[places[starts]].view(np.int64)
     view = memoryview(data)
     for start, n, anchor in zip(starts.tolist(), counts.tolist(), anchors.tolist()):
-        yield start, n, anchor, xxhash.xxh3_128_digest(view[start : start + n + length - 1])
+        yield start, n, anchor, xxhash.xxh3_64_intdigest(view[start : start + n + length - 1])
 
 
 def pieces(texts: list[bytes], length: int, piece: int) -> Iterator[tuple[bytes, list[tuple[int, int]], list[tuple[int, int]]]]:
@@ -102,13 +102,11 @@ def runs(rows: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc").take(own),
-                        batch.column("digest").take(own),
-                        pa.array(inside, pa.int64()),
-                        pa.array(n, pa.int64()),
+                        pa.array(packed(inside, np.array(n), batch.column("digest").take(own).to_numpy())),
                         pa.array(anchor, pa.int64()),
-                        pa.array(content, pa.binary()),
+                        pa.array(np.array(content, np.uint64).view(np.int64)),
                     ],
-                    ["doc", "digest", "start", "n", "anchor", "content"],
+                    ["doc", "place", "anchor", "content"],
                 )
 
     return rows.select("doc", "digest", "text").mapInArrow(run, RUNS)
@@ -201,7 +199,7 @@ def stretches(windows: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(windows[np.append(0, cut + 1)].tolist(), windows[np.append(cut, len(windows) - 1)].tolist()))
 
 
-COVERS = "anchor long, content binary, low long, high long"
+COVERS = "anchor long, content long, low long, high long"
 
 
 def cut_strings(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -215,14 +213,14 @@ def cut_strings(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([c["anchor"] for c in cuts], pa.int64()),
-                        pa.array([c["content"] for c in cuts], pa.binary()),
+                        pa.array([c["content"] for c in cuts], pa.int64()),
                         pa.array([c["w"] for c in cuts], pa.int64()),
                         pa.array([text[c["start"] : c["start"] + c["n"] + length - 1] for c in cuts], pa.binary()),
                     ],
                     ["anchor", "content", "w", "bytes"],
                 )
 
-    return rows.mapInArrow(run, "anchor long, content binary, w long, bytes binary")
+    return rows.mapInArrow(run, "anchor long, content long, w long, bytes binary")
 
 
 def covers(strings: DataFrame, length: int) -> DataFrame:
@@ -239,7 +237,7 @@ def covers(strings: DataFrame, length: int) -> DataFrame:
             out = [(*k, a, b) for k, windows in zip(keys, found) for a, b in stretches(windows)]
             columns = list(zip(*out)) or [(), (), (), ()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64()))], ["anchor", "content", "low", "high"]
+                [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4)], ["anchor", "content", "low", "high"]
             )
 
         held, size = {}, 0
@@ -268,7 +266,7 @@ def covers_by_window(strings: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([anchor] * n, pa.int64()),
-                        pa.array([content] * n, pa.binary()),
+                        pa.array([content] * n, pa.int64()),
                         pa.array([w] * n, pa.int64()),
                         pa.array(range(n), pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(view[i : i + length]) for i in range(n)], pa.binary()),
@@ -278,7 +276,7 @@ def covers_by_window(strings: DataFrame, length: int) -> DataFrame:
 
     # a string may be cut from several repeated rows; copies of it count once
     once = strings.dropDuplicates(["anchor", "content"])
-    windows = stored(once.mapInArrow(run, "anchor long, content binary, w long, low long, window binary"), "suffix-windows")
+    windows = stored(once.mapInArrow(run, "anchor long, content long, w long, low long, window binary"), "suffix-windows")
     twice = stored(windows.groupBy("window").agg(F.sum("w").alias("c")).where("c > 1").select("window"), "suffix-twice")
     return windows.join(twice, "window").select("anchor", "content", "low", F.col("low").alias("high"))
 
@@ -337,23 +335,26 @@ def shortened(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
 def repeated_spans(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """``doc, digest, low, high``: bytes covered by strings that repeat."""
-    strings = found.where("mixed").groupBy("anchor", "content").agg(F.count("*").alias("w"), F.min(F.struct("doc", "digest", "start", "n")).alias("at"))
-    strings = stored(strings, "suffix-strings")
-    many = stored(strings.groupBy("anchor").count().where(F.col("count") > MANY).select("anchor"), "suffix-many")
-    cut = stored(cut_strings(texts, strings, length), "suffix-bytes")
-    decided = covers(cut.join(many, "anchor", "left_anti"), length).unionByName(covers_by_window(cut.join(many, "anchor", "left_semi"), length))
-    decided = stored(decided, "suffix-covers")
-    equal = found.where("not mixed").select("doc", "digest", F.col("start").alias("low"), (F.col("start") + F.col("n") - 1 + length).alias("high"))
-    partly = found.where("mixed").select("doc", "digest", "start", "anchor", "content").join(decided, ["anchor", "content"])
-    return equal.unionByName(partly.select("doc", "digest", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high") + length).alias("high")))
+    strings = found.groupBy("anchor", "content").agg(F.count("*").alias("w"), F.min(F.struct("doc", "digest", "start", "n")).alias("at"))
+    strings = stored(with_mixed(stored(strings, "suffix-distinct"), "suffix"), "suffix-strings")
+    mixed = strings.where("mixed")
+    many = stored(mixed.groupBy("anchor").count().where(F.col("count") > MANY).select("anchor"), "suffix-many")
+    cut = stored(cut_strings(texts, mixed, length), "suffix-bytes")
+    equal = strings.where("not mixed and w > 1").select("anchor", "content", F.lit(0).cast("long").alias("low"), (F.col("at.n") - 1).alias("high"))
+    decided = (
+        equal.unionByName(covers(cut.join(many, "anchor", "left_anti"), length))
+        .unionByName(covers_by_window(cut.join(many, "anchor", "left_semi"), length))
+    )
+    partly = found.select("doc", "digest", "start", "anchor", "content").join(stored(decided, "suffix-covers"), ["anchor", "content"])
+    return partly.select("doc", "digest", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high") + length).alias("high"))
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``kept`` (null: nothing was removed)."""
     rows = keyed(docs)
     found = candidates(runs(rows, length), "suffix")
-    measures = {"n_bytes": F.octet_length("text").cast("long"), "sha": F.sha2("text", 256)}
-    texts = with_candidates(rows, found, measures, "suffix")
+    measured = rows.withColumns({"n_bytes": F.octet_length("text").cast("long"), "sha": F.sha2("text", 256)})
+    texts = with_candidates(measured, found, ("n_bytes", "sha"), "suffix")
     return removed(texts, repeated_spans(found, texts, length))
 
 
@@ -361,7 +362,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated strings taken out of the texts; a column ``n_chars`` follows them."""
     rows = keyed(docs, carry=True)
     found = candidates(runs(rows, length), "suffix")
-    texts = with_candidates(rows, found, {}, "suffix", carry=True)
+    texts = with_candidates(rows, found, (), "suffix", carry=True)
     short = shortened(texts, repeated_spans(found, texts, length))
     text = F.when(~F.col("row.no_text"), F.col("text"))
     columns = {c: F.col(f"row.other.`{c}`") for c in docs.columns if c != "text"} | {"text": text}
