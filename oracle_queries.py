@@ -282,8 +282,8 @@ ORACLE: dict[str, str] = {
     ),
     "append_validated": _q("SELECT * FROM mediated_b"),
     "insert_values": _q(
-        """SELECT * FROM catalog_b UNION ALL SELECT 'PROMO', 'STUDIO HEADSET PROMO', 4.5, 249.9,
-           299.9, 'Brand#26', 4.8, 'studio headset by Brand#26', 'PROMO, size 51', 'img/new.jpg'"""
+        """SELECT * FROM catalog_b UNION ALL SELECT 'ECONOMY', 'TIN WATERING CAN', 3.0, 12.75,
+           18.5, 'Brand#77', 4.1, 'holds six litres', 'green, with a long spout', 'garden/can.png'"""
     ),
     "write_with_count": _q(
         "SELECT count(*) AS n_reported, count(*) AS n_found FROM mediated_a"

@@ -23,25 +23,25 @@ def sales(spark):
     )
 
 
-def test_null_keys_match_null_keys(spark):
-    common = common_rows(profiles(spark), sales(spark)).select("user_name", "email", "product")
+def test_null_keys_match_null_keys_on_request(spark):
+    common = common_rows(profiles(spark), sales(spark), null_safe=True).select("user_name", "email", "product")
     assert rows(common) == [("ann", "a@x", "p"), ("ann", "a@x", "q"), ("bob", None, "r")]
-    parts = overlap_split(profiles(spark), sales(spark))
+    parts = overlap_split(profiles(spark), sales(spark), null_safe=True)
     assert [r["user_name"] for r in parts["only_profiles"].orderBy("_id").collect()] == ["cy", "dee"]
     assert [r["_id"] for r in parts["only_sales"].collect()] == [10]
 
 
-def test_sql_null_semantics_on_request(spark):
-    assert common_rows(profiles(spark), sales(spark), null_safe=False).count() == 2
-    alone = exclusive_rows(profiles(spark), sales(spark), null_safe=False)
+def test_null_keys_match_nothing(spark):
+    assert common_rows(profiles(spark), sales(spark)).count() == 2
+    alone = exclusive_rows(profiles(spark), sales(spark))
     assert [r["user_name"] for r in alone.orderBy("_id").collect()] == ["bob", "cy", "dee"]
 
 
 def test_lookup_nests_matches(spark):
-    nested = lookup_nested(profiles(spark), sales(spark)).orderBy("_id").collect()
+    nested = lookup_nested(profiles(spark), sales(spark), null_safe=True).orderBy("_id").collect()
     assert [len(r["matched"]) for r in nested] == [2, 1, 0, 0]
     assert {m["product"] for m in nested[0]["matched"]} == {"p", "q"}
-    assert lookup_nested(profiles(spark), sales(spark), null_safe=False).where("size(matched) > 0").count() == 1
+    assert lookup_nested(profiles(spark), sales(spark)).where("size(matched) > 0").count() == 1
 
 
 def test_lookup_splits_a_frequent_key(spark):
@@ -49,7 +49,7 @@ def test_lookup_splits_a_frequent_key(spark):
     left = spark.createDataFrame([("hot",), ("cold",), ("none",)], "email string")
     data = [("hot", 1)] * 300 + [("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(1200)]
     right = spark.createDataFrame(data + [("cold", 5)], "email string, v int").repartition(4)
-    nested = lookup_nested(left, right, chunk_rows=50).collect()
+    nested = lookup_nested(left, right, chunks=12).collect()
     hot = [r for r in nested if r["email"] == "hot"]
     assert len(hot) > 4
     assert sorted(m["v"] for r in hot for m in r["matched"]) == sorted(v for k, v in data if k == "hot")
@@ -68,3 +68,18 @@ def test_top_rows_break_ties_by_id(spark):
     assert "rangepartitioning" not in plan_of(report)
     none = top_rows_report({"top": (sales(spark).limit(0), "_id", "_id")})
     assert none.collect() == [("top", None)]
+
+
+def test_lookup_does_not_depend_on_match_counts(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "_id int, email string")
+    right = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 7)] * 3, "email string, v int")
+    once = lookup_nested(left, right).orderBy("_id").collect()
+    assert [(r["_id"], r["chunk"], len(r["matched"])) for r in once] == [(1, 0, 50), (2, 0, 0), (3, 0, 0)]
+    spread = lookup_nested(left, right, chunks=5).where("_id = 1").collect()
+    assert sorted(m["v"] for r in spread for m in r["matched"]) == list(range(50)) and len(spread) == 5
+
+
+def test_null_keys_on_both_sides_are_not_paired(spark):
+    left = spark.createDataFrame([(None, i) for i in range(200)], "email string, v int")
+    right = spark.createDataFrame([(None, i) for i in range(200)], "email string, w int")
+    assert common_rows(left, right).count() == 0

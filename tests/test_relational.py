@@ -58,3 +58,9 @@ def test_two_level_top_k(spark):
     top = top_k_federated([a, b], [F.desc("id")], 3, 4)
     assert [r["id"] for r in top.collect()] == [199, 198, 197, 99]
     assert plan_of(top).count("TakeOrderedAndProject") == 3
+
+
+def test_count_of_a_column_skips_nulls(spark):
+    df = spark.createDataFrame([("k", None), ("k", "x")], "k string, e string")
+    grouped = aggregate(df, ["k"], [("count", "*"), ("count", "e")])
+    assert grouped.columns == ["k", "count", "count_e"] and grouped.collect() == [("k", 2, 1)]

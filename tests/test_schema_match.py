@@ -70,3 +70,19 @@ def test_first_column_wins_equal_ratios(spark):
 
 def test_nothing_in_common(spark):
     assert overlap(spark, ["Q"]) == []
+
+
+def test_two_attributes_on_one_column_and_none(spark):
+    a = spark.createDataFrame([("x", 1)], "p string, q int")
+    b = spark.createDataFrame([("y", 2)], "r string, s int")
+    mapping = spark.createDataFrame(
+        [("name", "p", "r"), ("title", "p", "s"), ("other", None, "r")], "attribute string, column_a string, column_b string"
+    )
+    union = mediated_union(a, b, mapping, "A", "B")
+    assert sorted(map(tuple, union.collect()), key=repr) == [("x", "x", None, "A"), ("y", "2", "y", "B")]
+
+
+def test_overrides_apply_where_nothing_matched(spark):
+    none = spark.createDataFrame([], "ordinal int, column_a string, column_b string, similarity double")
+    mapping = mediated_mapping(none, ["name", "price"], {"price": ("p", "q")})
+    assert sorted(map(tuple, mapping.collect())) == [("name", None, None), ("price", "p", "q")]

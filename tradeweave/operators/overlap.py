@@ -21,7 +21,7 @@ def _same(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> Colum
 
 
 def common_rows(
-    profiles: DataFrame, sales: DataFrame, key: str = "email", null_safe: bool = True
+    profiles: DataFrame, sales: DataFrame, key: str = "email", null_safe: bool = False
 ) -> DataFrame:
     """One row per (profile, partnership) with the same key; the key once, and
     a column both sides have is taken from the profile."""
@@ -31,7 +31,7 @@ def common_rows(
 
 
 def exclusive_rows(
-    left: DataFrame, right: DataFrame, key: str = "email", null_safe: bool = True
+    left: DataFrame, right: DataFrame, key: str = "email", null_safe: bool = False
 ) -> DataFrame:
     """The left rows whose key the right side does not have."""
     keys = right.select(key).distinct()
@@ -39,7 +39,7 @@ def exclusive_rows(
 
 
 def overlap_split(
-    profiles: DataFrame, sales: DataFrame, key: str = "email", null_safe: bool = True
+    profiles: DataFrame, sales: DataFrame, key: str = "email", null_safe: bool = False
 ) -> dict[str, DataFrame]:
     """The three parts: common, only in profiles, only in partnerships."""
     return {
@@ -54,55 +54,29 @@ def lookup_nested(
     right: DataFrame,
     key: str = "email",
     name: str = "matched",
-    null_safe: bool = True,
-    chunk_rows: int = 100_000,
+    null_safe: bool = False,
+    chunks: int = 1,
 ) -> DataFrame:
     """Left rows with their matching right rows nested as an array.
 
-    A key with up to ``chunk_rows`` matches gives one row, ``chunk`` 0.  A more
-    frequent key is spread over several rows, numbered by ``chunk``, whose
-    arrays together hold all matches, so no task has to hold one key's rows in
-    one array.  A left row without a match gets an empty array.
+    The result has one row for each left row and chunk that holds matches of
+    it; a left row without a match has one row, chunk 0, with an empty array.
+    Matches are dealt to ``chunks`` chunks by a hash of the right row, copies of
+    a row to consecutive chunks, whatever their number: give more chunks where
+    a key may have more matches than one array should hold.
     """
     if not null_safe:
         right = right.where(F.col(key).isNotNull())
-    body = F.struct(*right.columns)
-    frequent = (
-        right.groupBy(F.col(key).alias("__key"))
-        .agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("__chunks"))
-        .where("__chunks > 1")
+    copies = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("__n"))
+    steps = F.sequence(F.lit(0), F.least(F.col("__n"), F.lit(chunks)).cast("int") - 1)
+    dealt = copies.withColumn("__step", F.explode(steps)).select(
+        F.col(key).alias("__key"),
+        F.pmod(F.xxhash64(*right.columns) + F.col("__step"), F.lit(chunks)).cast("int").alias("chunk"),
+        F.array_repeat(
+            F.struct(*right.columns), F.ceil((F.col("__n") - F.col("__step")) / chunks).cast("int")
+        ).alias("__rows"),
     )
-    # One look at the key column decides which plan is needed.
-    some_frequent = not frequent.isEmpty()
-    is_frequent = right[key].eqNullSafe(frequent["__key"])
-    rest = right.join(frequent, is_frequent, "left_anti") if some_frequent else right
-    arrays = (
-        rest.groupBy(F.col(key).alias("__key"))
-        .agg(F.collect_list(body).alias(name))
-        .withColumn("chunk", F.lit(0))
-    )
-    # Copies of a row are counted first and then dealt out in batches to
-    # consecutive chunks, so copies do not pile up in one chunk either.
-    batches = F.sequence(F.lit(0), F.ceil(F.col("__n") / chunk_rows).cast("int") - 1)
-    dealt = (
-        right.join(frequent, is_frequent)
-        .groupBy("__key", "__chunks", *right.columns)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__batch", F.explode(batches))
-        .withColumn("__place", F.pmod(F.xxhash64(*right.columns), "__chunks") + F.col("__batch"))
-        .select(
-            "__key",
-            F.pmod("__place", "__chunks").cast("int").alias("chunk"),
-            F.array_repeat(
-                body, F.least(F.lit(chunk_rows), F.col("__n") - F.col("__batch") * chunk_rows).cast("int")
-            ).alias("__rows"),
-        )
-    )
-    split = dealt.groupBy("__key", "chunk").agg(
-        F.flatten(F.collect_list("__rows")).alias(name)
-    )
-    if some_frequent:
-        arrays = arrays.unionByName(split)
+    arrays = dealt.groupBy("__key", "chunk").agg(F.flatten(F.collect_list("__rows")).alias(name))
     same = (
         left[key].eqNullSafe(arrays["__key"]) if null_safe else left[key] == arrays["__key"]
     )

@@ -85,12 +85,13 @@ def aggregate(
     """Group and aggregate with generated names.
 
     ``aggregates`` are (function, column) pairs; the result columns are called
-    ``avg_x``, ``sum_x``, ``min_x``, ``max_x`` and ``count``.
+    ``avg_x``, ``sum_x``, ``min_x``, ``max_x`` and ``count_x``, which counts values
+    that are not null; ``("count", "*")`` counts rows as ``count``.
     """
-    makers = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
+    makers = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
     columns = [
         F.count(F.lit(1)).alias("count")
-        if fn == "count"
+        if (fn, column) == ("count", "*")
         else makers[fn](column).alias(f"{fn}_{column}")
         for fn, column in aggregates
     ]

@@ -28,7 +28,7 @@ DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-# The attributes of the mediated load and the assignment given by hand.
+# The attributes of the mediated load and the assignment given by hand.
 ATTRIBUTES = ("name", "category", "ratings", "discountprice", "actualprice", "imagelinks")
 OVERRIDES = {"discountprice": ("reducedprice", "discount_price")}
 COLUMN_THRESHOLD = 0.7
@@ -214,8 +214,8 @@ def append_validated(spark, sf):
 
 
 NEW_PRODUCT = (
-    "PROMO", "STUDIO HEADSET PROMO", 4.5, 249.9, 299.9, "Brand#26", 4.8,
-    "studio headset by Brand#26", "PROMO, size 51", "img/new.jpg",
+    "ECONOMY", "TIN WATERING CAN", 3.0, 12.75, 18.5, "Brand#77", 4.1,
+    "holds six litres", "green, with a long spout", "garden/can.png",
 )
 
 
@@ -372,9 +372,7 @@ def quarantine_bad_price(spark, sf):
 
 @query
 def lookup_nested(spark, sf):
-    nested = op.lookup_nested(
-        v.profiles(spark, sf), v.partnerships(spark, sf).select("_id", "email", "product")
-    )
+    nested = op.lookup_nested(v.profiles(spark, sf), v.partnerships(spark, sf))
     rendered = F.transform(
         F.sort_array("matched"), lambda m: F.concat_ws(":", m["_id"].cast("string"), m["product"])
     )
@@ -523,11 +521,8 @@ def tfidf_rank(spark, sf):
 
 @query
 def agg_count(spark, sf):
-    return (
-        v.profiles(spark, sf)
-        .groupBy("business_type")
-        .agg(F.count(F.lit(1)).alias("count"), F.count("email").alias("n_emails"))
-    )
+    grouped = op.aggregate(v.profiles(spark, sf), ["business_type"], [("count", "*"), ("count", "email")])
+    return grouped.withColumnRenamed("count_email", "n_emails")
 
 
 @query

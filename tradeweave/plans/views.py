@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tradeweave.operators import select_mapped
 from tradeweave.sinks import quarantine
 
-# part.p_type values; each is one product table of a source.
+# part.p_type values with a product table of their own; the rest, null included, shares one.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 DRIFTED = "PROMO"
 
@@ -120,10 +120,15 @@ def catalog_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(*_columns(CATALOG_B))
 
 
+def _unlisted(column: str):
+    return F.col(column).isNull() | ~F.col(column).isin(*CATEGORIES)
+
+
 def collections_a(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Catalog A as one collection per category; one calls its name field differently."""
     items = catalog_a(spark, sf_dir)
     parts = {c.lower(): items.where(F.col("main_category") == c) for c in CATEGORIES}
+    parts["other"] = items.where(_unlisted("main_category"))
     drifted = DRIFTED.lower()
     parts[drifted] = parts[drifted].withColumnRenamed("nameitem", "nameitems")
     return parts
@@ -132,7 +137,8 @@ def collections_a(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def tables_b(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Catalog B as one table per category."""
     products = catalog_b(spark, sf_dir)
-    return [products.where(F.col("category") == c) for c in CATEGORIES]
+    listed = [products.where(F.col("category") == c) for c in CATEGORIES]
+    return [*listed, products.where(_unlisted("category"))]
 
 
 def documents_a(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,24 +9,34 @@ from pyspark.sql import functions as F
 
 from tradeweave.workspace import new_path
 
+MADE_HERE = "tradeweave.registered"
 SNAPSHOT = "source string, `table` string, ordinal int, `column` string, type string"
 
 
 def register_source(spark: SparkSession, source: str, tables: Mapping[str, str]) -> None:
     """Make a source's tables visible to SQL as ``source.table``.
 
-    A value with a ``/`` is a parquet path and becomes an external table; any
-    other value is a SELECT and becomes a view.
+    A value that starts with SELECT or WITH becomes a view; any other value is
+    a parquet path and becomes an external table.  Only tables and views made
+    here are replaced; any other of the same name is an error.
     """
     place = new_path(spark, source)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{source}` LOCATION '{place}'")
     for table, body in tables.items():
         name = f"`{source}`.`{table}`"
-        if body.lstrip()[:6].upper() == "SELECT":
-            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
+        is_view = body.split(None, 1)[0].upper() in ("SELECT", "WITH")
+        if spark.catalog.tableExists(name):
+            made = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+            if MADE_HERE not in made:
+                raise ValueError(f"{name} exists and was not registered here")
+            kind = spark.catalog.getTable(name).tableType
+            spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
+        made_here = f"TBLPROPERTIES ('{MADE_HERE}' = 'true')"
+        if is_view:
+            spark.sql(f"CREATE VIEW {name} {made_here} AS {body}")
         else:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{body}'")
+            location = body.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"CREATE TABLE {name} USING parquet {made_here} LOCATION '{location}'")
 
 
 def catalog_snapshot(spark: SparkSession, sources: Sequence[str]) -> DataFrame:
