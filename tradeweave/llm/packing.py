@@ -106,6 +106,8 @@ def place(sizes: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray
         room = limits - used
         fits = (left > 0) & (kinds <= room).all(axis=1)
         if not fits.any():
+            if not used.any():
+                raise ValueError("a piece is larger than a sequence may be")
             now, used = now + 1, np.zeros(len(limits), np.int64)
             continue
         score = np.where(fits, shares @ (room / limits), -1.0)
