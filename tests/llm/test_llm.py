@@ -11,7 +11,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from oracle_check import compare, oracle_connection
+
 import corpus_pipeline
+from tradeweave.llm import queries as llm_queries
 from tradeweave.llm import (
     bpe,
     fingerprint,
@@ -287,3 +290,8 @@ def test_pipeline(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     good = {r.doc_id for r in quality.keep_good(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect()}
     assert found and {r.doc_id for r in found} <= good
+
+
+@pytest.mark.parametrize("name", sorted(llm_queries.ORACLE))
+def test_sql_twins(spark, name):
+    assert compare(llm_queries.QUERIES[name](spark, SF), oracle_connection(SF), llm_queries.ORACLE[name]) is None

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.llm import bpe, fingerprint, jaccard, packing, quality, recompression, suffix_dedup, token_counts, toxicity, warc
 from tradeweave.llm.common import table
+from tradeweave.llm.oracle import ORACLE
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +70,5 @@ QUERIES = {
         op10_warc_archive,
     )
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
