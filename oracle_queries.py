@@ -225,6 +225,29 @@ _PAIRED = (
     "scored AS (SELECT *, jaro_winkler_similarity(name_a, name_b) AS js FROM pairs)",
 )
 
+_PARTNERS = """SELECT username, email, business_category, company_name, product, profit_in_a_percent,
+           profit_in_b_percent, nameitem, sub_category, image, link, user_ratings, reducedprice,
+           actualprice, 'sub_category' AS matched_column
+           FROM partnerships JOIN catalog_a ON business_category <> ''
+             AND contains(lower(sub_category), lower(business_category))
+             AND contains(lower(nameitem), lower(company_name))"""
+
+_SNAPSHOT = f"""
+        SELECT 'driver' AS source, table_name AS "table", ordinal_position AS ordinal,
+          column_name AS "column",
+          CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+            WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+            ELSE lower(data_type) END AS type
+        FROM information_schema.columns
+        WHERE table_name IN ({", ".join(f"'{t}'" for t in _DRIVER_TABLES)})"""
+
+# The order of a load by all its columns, nulls first.
+_FIRST = ", ".join(f"{c} NULLS FIRST" for c in ("name", "category", "ratings", "discount_price", "actual_price"))
+_LOADED = ", ".join(
+    f"{c} NULLS FIRST"
+    for c in ("name", "category", "ratings", "discountprice", "actualprice", "imagelinks", "source")
+)
+
 ORACLE: dict[str, str] = {
     # sources
     "scan_relational": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
@@ -245,14 +268,7 @@ ORACLE: dict[str, str] = {
     "combined_view": _q("SELECT * EXCLUDE (main_category) FROM catalog_a"),
     "ingest_csv_clean": _q(_INGESTED),
     "ingest_json_clean": _q(_INGESTED),
-    "catalog_snapshot": f"""
-        SELECT 'driver' AS source, table_name AS "table", ordinal_position AS ordinal,
-          column_name AS "column",
-          CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
-            WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-            ELSE lower(data_type) END AS type
-        FROM information_schema.columns
-        WHERE table_name IN ({", ".join(f"'{t}'" for t in _DRIVER_TABLES)})""",
+    "catalog_snapshot": _SNAPSHOT,
     "field_profile": _q(
         """SELECT f AS field, CAST(pos AS INTEGER) AS ordinal, count(*) AS n_docs,
            count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM catalog_a) AS presence
@@ -364,14 +380,7 @@ ORACLE: dict[str, str] = {
         """SELECT c AS "column", round(s, 6) AS ratio FROM scored ORDER BY s DESC, o LIMIT 1""",
         *_OVERLAP_VALUES,
     ),
-    "partner_products": _q(
-        """SELECT username, email, business_category, company_name, product, profit_in_a_percent,
-           profit_in_b_percent, nameitem, sub_category, image, link, user_ratings, reducedprice,
-           actualprice, 'sub_category' AS matched_column
-           FROM partnerships JOIN catalog_a ON business_category <> ''
-             AND contains(lower(sub_category), lower(business_category))
-             AND contains(lower(nameitem), lower(company_name))"""
-    ),
+    "partner_products": _q(_PARTNERS),
     "schema_match_last": _q(
         "SELECT a AS column_a, b AS column_b, round(s, 6) AS similarity FROM lasts",
         *_FIELDS,
@@ -469,6 +478,57 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT nameitem, reducedprice FROM catalog_a
            WHERE reducedprice IS NOT NULL AND reducedprice <> 'NULL'"""
     ),
+    # pipelines
+    "pipeline_resolve_entities": _q(
+        f"SELECT row_number() OVER (ORDER BY {_FIRST}, source NULLS FIRST) AS id, * FROM matched", *_members(0.7)
+    ),
+    "pipeline_load_mediated": _q(
+        f"""SELECT row_number() OVER (ORDER BY {_LOADED}) AS id, * FROM (
+           SELECT nameitem AS name, sub_category AS category, CAST(user_ratings AS DOUBLE) AS ratings,
+             reduced AS discountprice, actual AS actualprice, image AS imagelinks, 'catalog_a' AS source
+           FROM num_a
+           UNION
+           SELECT name, category, ratings, discount_price, actual_price, image_links, 'catalog_b'
+           FROM catalog_b)"""
+    ),
+    "pipeline_influencer_overlap": _q(
+        f"""SELECT 'common' AS output, profile_id AS _id, email FROM ({_COMMON})
+           UNION ALL SELECT 'only_profiles', _id, email FROM ({_ONLY_PROFILES})
+           UNION ALL SELECT 'only_sales', _id, email FROM ({_ONLY_SALES})
+           UNION ALL (SELECT 'most_followed', _id, email FROM profiles
+             ORDER BY followers DESC, _id LIMIT 1)
+           UNION ALL (SELECT 'top_a_profit', _id, email FROM partnerships
+             ORDER BY profit_in_a_percent DESC, _id LIMIT 1)
+           UNION ALL (SELECT 'top_b_profit', _id, email FROM partnerships
+             ORDER BY profit_in_b_percent DESC, _id LIMIT 1)"""
+    ),
+    "pipeline_partner_products": _q(_PARTNERS),
+    "pipeline_refresh_catalog": _SNAPSHOT.replace("'driver'", "'refreshed'"),
+    "metadata_json_sink": _q(
+        """SELECT 'described_' || s AS source, t AS "table", CAST(i AS INTEGER) AS ordinal, c AS "column" FROM (
+           SELECT 'shop_a' AS s, 'items' AS t, unnest(range(1, 10)) AS i, unnest(['_id', 'nameitem',
+             'main_category', 'sub_category', 'image', 'link', 'user_ratings', 'reducedprice', 'actualprice']) AS c
+           UNION ALL
+           SELECT 'shop_b', 'products', unnest(range(1, 11)), unnest(['category', 'name', 'ratings',
+             'discount_price', 'actual_price', 'seller_name', 'seller_rating', 'description', 'highlights', 'image_links'])
+           UNION ALL
+           SELECT 'social', 'profiles', unnest(range(1, 7)), unnest(['_id', 'user_name', 'email', 'followers',
+             'posts', 'business_type']))"""
+    ),
+    "image_link_match": _q(
+        """SELECT DISTINCT nameitem AS name, image AS link FROM catalog_a WHERE EXISTS (
+             SELECT 1 FROM catalog_b WHERE jaro_winkler_similarity(lower(image), lower(image_links)) > 0.6)
+           UNION ALL
+           SELECT DISTINCT name, image_links FROM catalog_b WHERE EXISTS (
+             SELECT 1 FROM catalog_a WHERE jaro_winkler_similarity(lower(image), lower(image_links)) > 0.6)"""
+    ),
+    "partner_products_regex": _q(
+        _PARTNERS.replace(
+            "contains(lower(sub_category), lower(business_category))",
+            "regexp_matches(sub_category, '(?i)^' || business_category || '\\b')",
+        ).replace("SELECT username, email, business_category", "SELECT username, email, '^' || business_category || '\\b' AS business_category")
+    ),
+    "limit_bare": "SELECT count(o_orderkey) AS n_rows FROM (SELECT * FROM orders LIMIT 7)",
     # scalar functions
     "price_to_number": _q("SELECT _id, reduced, actual FROM num_a"),
     "price_similarity": """SELECT l_orderkey, l_linenumber,

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from tradeweave import sinks, sources
@@ -124,3 +124,19 @@ def test_keyed_view(spark):
     parts = [spark.createDataFrame([(c, i) for i in range(3)], "c string, i int") for c in "ba"]
     keyed = sources.global_view_keyed(parts, ["i"], ["c", "i"])
     assert sorted(tuple(r) for r in keyed.collect()) == [(k, (k - 1) % 3) for k in range(1, 7)]
+
+
+def test_append_new_keyed(spark):
+    path = new_path(spark, "keyed")
+    first = spark.createDataFrame([("b", None), ("a", 1), ("a", 1)], "name string, n int")
+    sinks.append_new_keyed(first, path)
+    sinks.append_new_keyed(first.union(spark.createDataFrame([(None, 2)], first.schema)), path)
+    sinks.append_new_keyed(first.limit(0), path)
+    assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "b", None), (3, None, 2)]
+
+
+def test_surrogate_key_moves_no_row_again(spark):
+    keyed = sinks.with_surrogate_key(spark.range(1000).selectExpr("id * 7 % 1000 AS v"), ["v"])
+    assert [r["id"] for r in keyed.orderBy("v").collect()] == list(range(1, 1001))
+    plan = plan_of(keyed)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from tradeweave.functions import (
     price_similarity,
     price_to_number,
 )
+from tradeweave.plans import pipelines
 from tradeweave.plans import views as v
 from tradeweave.workspace import new_path
 
@@ -34,6 +36,20 @@ OVERRIDES = {"discountprice": ("reducedprice", "discount_price")}
 COLUMN_THRESHOLD = 0.7
 BEST_THRESHOLD = 0.85
 STRICT = 0.9
+# Image links count as equal above 0.6, the bound excluded.
+IMAGE_RULE = op.Rule(math.nextafter(0.6, 1), 1.0, 0.0, name="link", price=None)
+# The mediated load: attributes with their types, as its table holds them.
+LOADED = sinks.Contract(
+    types={
+        "name": "string", "category": "string", "ratings": "double", "discountprice": "double",
+        "actualprice": "double", "imagelinks": "string", "source": "string",
+    }
+)
+BEST_OF = {
+    "most_followed": ("profiles", "followers"),
+    "top_a_profit": ("sales", "profit_in_a_percent"),
+    "top_b_profit": ("sales", "profit_in_b_percent"),
+}
 PAIRS = 0.95
 ITEM_QUERY = "small ring Brand#7"
 
@@ -720,6 +736,91 @@ def union_by_name_complete(spark, sf):
     return op.union_complete([b, drifted, aligned])
 
 
+# --- pipelines, run end to end and read back from what they loaded ----------
+
+
+@query
+def pipeline_resolve_entities(spark, sf):
+    path = new_path(spark, "resolved")
+    pipelines.resolve_entities(v.raw_mediated_a(spark, sf), v.raw_mediated_b(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query
+def pipeline_load_mediated(spark, sf):
+    path = new_path(spark, "loaded")
+    a, b = combined_view(spark, sf), global_view_keyed(spark, sf)
+    for _ in range(2):  # the second load finds nothing new
+        pipelines.load_mediated(
+            a, b, path, ATTRIBUTES, OVERRIDES, ("catalog_a", "catalog_b"), COLUMN_THRESHOLD, LOADED
+        )
+    return spark.read.parquet(path)
+
+
+@query
+def pipeline_influencer_overlap(spark, sf):
+    paths = pipelines.influencer_overlap(
+        v.profiles(spark, sf), v.partnerships(spark, sf), new_path(spark, "influencers"), BEST_OF
+    )
+    loaded = {kind: spark.read.parquet(path) for kind, path in paths.items()}
+    best = loaded.pop("best_of").select(
+        F.col("type").alias("output"),
+        F.get_json_object("data", "$._id").try_cast("long").alias("_id"),
+        F.get_json_object("data", "$.email").alias("email"),
+    )
+    rows = [df.select(F.lit(kind).alias("output"), "_id", "email") for kind, df in loaded.items()]
+    return sources.global_view([*rows, best])
+
+
+@query
+def pipeline_partner_products(spark, sf):
+    path = new_path(spark, "partners")
+    pipelines.load_partner_products(v.partnerships(spark, sf), combined_view(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query
+def pipeline_refresh_catalog(spark, sf):
+    path = new_path(spark, "refreshed")
+    tables = {t: f"SELECT * FROM parquet.`{sf}/{t}.parquet`" for t in DRIVER_TABLES}
+    sources.register_source(spark, "refreshed", tables)
+    pipelines.refresh_catalog(spark, ["refreshed"], path)
+    return sources.read_catalog_snapshot(spark, path)
+
+
+@query
+def metadata_json_sink(spark, sf):
+    path = new_path(spark, "metadata")
+    for source, tables in v.sql_views(sf).items():
+        sources.register_source(spark, f"described_{source}", tables)
+    names = [f"described_{source}" for source in v.sql_views(sf)]
+    sources.write_catalog_snapshot(sources.catalog_snapshot(spark, names), path)
+    found = sources.read_catalog_snapshot(spark, path)
+    return found.select("source", "table", "ordinal", "column")
+
+
+@query
+def image_link_match(spark, sf):
+    a = v.catalog_a(spark, sf).select(F.col("nameitem").alias("name"), F.col("image").alias("link"))
+    b = v.catalog_b(spark, sf).select("name", F.col("image_links").alias("link"))
+    return op.entity_match(a, b, IMAGE_RULE)
+
+
+@query
+def partner_products_regex(spark, sf):
+    kind = F.col("business_category")
+    offers = v.partnerships(spark, sf).withColumn(
+        "business_category", F.when(kind == "", kind).otherwise(F.concat(F.lit("^"), kind, F.lit(r"\b")))
+    )
+    return op.partner_products(offers, combined_view(spark, sf), "sub_category", regex=True)
+
+
+@query
+def limit_bare(spark, sf):
+    # which rows come is open, how many is not
+    return v.table(spark, sf, "orders").limit(7).agg(F.count("o_orderkey").alias("n_rows"))
+
+
 # --- scalar functions ------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from tradeweave.sinks.contract import (
 from tradeweave.sinks.keys import with_surrogate_key
 from tradeweave.sinks.writers import (
     append,
+    append_new_keyed,
     append_new_only,
     insert_values,
     overwrite,
@@ -22,6 +23,7 @@ __all__ = [
     "Contract",
     "ContractError",
     "append",
+    "append_new_keyed",
     "append_new_only",
     "append_validated",
     "check_contract",

@@ -23,7 +23,8 @@ def with_surrogate_key(
     if one leading value holds a large share of the rows, and the numbering is
     repeatable.  The sorted rows are checkpointed so that partition sizes and
     positions describe the same layout whatever is recomputed later; after that
-    only one number per partition is needed.
+    only one number per partition is needed.  Those numbers are broadcast: they
+    are as many as the sort has partitions, whatever the data.
     """
     shared_dir(df.sparkSession)
     laid_out = df.orderBy(*order_by).checkpoint()
@@ -39,6 +40,6 @@ def with_surrogate_key(
     offsets = sizes.select(
         "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
-    return placed.join(offsets, "__part").select(
+    return placed.join(F.broadcast(offsets), "__part").select(
         (F.col("__before") + F.col("__at") + start).cast("long").alias(key), *df.columns
     )

@@ -2,6 +2,7 @@ from tradeweave.sources.catalog import (
     catalog_snapshot,
     discover_fields,
     field_profile,
+    read_catalog_snapshot,
     register_source,
     write_catalog_snapshot,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "id_as_string",
     "ingest_csv",
     "ingest_json",
+    "read_catalog_snapshot",
     "read_documents",
     "read_jdbc",
     "read_relational",

@@ -61,6 +61,10 @@ def write_catalog_snapshot(snapshot: DataFrame, path: str) -> None:
     snapshot.write.mode("overwrite").partitionBy("source").json(path)
 
 
+def read_catalog_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SNAPSHOT).json(path).select("source", "table", "ordinal", "column", "type")
+
+
 def field_profile(docs: DataFrame, document: str | Column) -> DataFrame:
     """Fields found in a column of JSON objects: (field, ordinal, n_docs, presence).
 
