@@ -292,6 +292,32 @@ def test_pipeline(spark):
     assert found and {r.doc_id for r in found} <= good
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_awkward_and_empty_tables(spark, docs, labels, tmp_path, name, stage):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    found = stage(spark, docs[0], str(tmp_path))
+    assert {r.doc_id for r in found.collect()} <= {i for i, _ in docs[1]}
+    if name != "packing":
+        assert found.schema.fieldNames() == docs[0].columns
+    nulls = spark.createDataFrame([(None, None, None)] * 3, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in stage(spark, nulls, str(tmp_path)).collect()} <= {None}
+    none = stage(spark, empty(spark), str(tmp_path))
+    assert none.count() == 0
+
+
+def test_jaccard_of_mostly_common_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HOT", 4)
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(500)]
+    rows = []
+    for pair in range(12):
+        own = [f"p{pair}x{i}" for i in range(rng.choice([40, 300, 500, 800]))]
+        rows += [(2 * pair, " ".join(common + own)), (2 * pair + 1, " ".join(common + own[:-30]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert all(found[2 * p] == found[2 * p + 1] for p in range(12))
+
+
 @pytest.mark.parametrize("name", sorted(llm_queries.ORACLE))
 def test_sql_twins(spark, name):
     assert compare(llm_queries.QUERIES[name](spark, SF), oracle_connection(SF), llm_queries.ORACLE[name]) is None

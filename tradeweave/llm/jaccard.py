@@ -9,8 +9,9 @@
    For the same reason a class of which fewer than ``REPEATED`` low shingles
    occur elsewhere has no partner (probability 3e-15; small sets, whose low
    shingles are all, must share three in four). Shingles of more than ``HOT``
-   classes are passed over in favour of the next ones, unless a class has
-   hardly any others.
+   classes are passed over in favour of the next ones, and of as many more as
+   were passed over: what two sets share may be mostly hot. A class with more
+   than ``PASSED`` hot ones keeps them all (probability below 1e-11 in any mix).
 3. Each low shingle has a hub, one of its classes. The classes that share a
    shingle with a hub form its tiles, one for each band of set sizes.
 4. In a tile, hashed bitmap signatures bound the overlap of two sets from above
@@ -47,6 +48,7 @@ SHARE, OF = 75, 100
 LOW, NEED = 48, 24
 REPEATED = 10
 HOT = 64
+PASSED = 14
 TILE = 512
 #: Ratio of the largest to the smallest set of a band.
 BAND = 4
@@ -128,9 +130,10 @@ def tiles(classes: DataFrame) -> DataFrame:
     repeats = F.count("*").over(own)
     enough = F.when(F.col("held") < LOW, OF * repeats >= SHARE * F.col("held")).otherwise(repeats >= REPEATED)
     ranked = ranked.withColumn("enough", enough).where("enough")
-    few = F.col("held") - F.col("hot_all") < NEED
+    few = (F.col("held") - F.col("hot_all") < NEED) | (F.col("hot_all") > PASSED)
+    cold_place = F.col("pos") - F.col("hot_before")
     kept = stored(
-        ranked.where(few | (F.col("hot") == 0) & (F.col("pos") - F.col("hot_before") < NEED)).select("shingle", "cls", "rep", "n"),
+        ranked.where(few | (F.col("hot") == 0) & (cold_place < NEED + F.col("hot_all"))).select("shingle", "cls", "rep", "n"),
         "jaccard-low",
     )
     hubs = (
