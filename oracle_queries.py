@@ -284,8 +284,7 @@ ORACLE: dict[str, str] = {
     ),
     "sink_append": _q("SELECT * FROM mediated_a UNION ALL SELECT * FROM mediated_b"),
     "sink_append_new_only": _q(
-        """SELECT DISTINCT name, source FROM mediated_a
-           UNION SELECT DISTINCT name, source FROM mediated_b"""
+        "SELECT * FROM mediated_a UNION SELECT * FROM mediated_b"
     ),
     "surrogate_key": _q(
         """SELECT row_number() OVER (ORDER BY discount_price DESC, name, image_links) AS id,
@@ -316,8 +315,8 @@ ORACLE: dict[str, str] = {
            reducedprice AS discount_price, actualprice AS actual_price FROM catalog_a"""
     ),
     "render_text": "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM customer",
-    "render_json": """SELECT '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey
-        || ',"o_orderpriority":"' || o_orderpriority || '"}' AS json FROM orders""",
+    "render_json": """SELECT '{' || concat_ws(',', '"doc_id":' || doc_id, '"quality":' || quality,
+        '"toxic":' || toxic) || '}' AS json FROM labels""",
     "source_tag": _q(
         """SELECT name, category, ratings, discount_price, actual_price, 'catalog_b' AS source
            FROM catalog_b"""
@@ -360,9 +359,10 @@ ORACLE: dict[str, str] = {
     ),
     "exclusive_sales": _q(_ONLY_SALES),
     "overlap_split": _q(
-        f"""SELECT 'common' AS kind, profile_id AS _id, email FROM ({_COMMON})
-           UNION ALL SELECT 'only_profiles', _id, email FROM ({_ONLY_PROFILES})
-           UNION ALL SELECT 'only_sales', _id, email FROM ({_ONLY_SALES})"""
+        f"""SELECT 'common' AS kind, p.*, s.* EXCLUDE (_id, email)
+           FROM profiles p JOIN partnerships s ON p.email = s.email
+           UNION ALL BY NAME SELECT 'only_profiles' AS kind, * FROM ({_ONLY_PROFILES})
+           UNION ALL BY NAME SELECT 'only_sales' AS kind, * FROM ({_ONLY_SALES})"""
     ),
     "join_inner": _q(
         """SELECT user_name, followers, product, profit_in_a_percent

@@ -119,3 +119,20 @@ def test_udfs_keep_nulls_and_work_from_sql(spark):
     register_similarity(spark)
     df.createOrReplaceTempView("name_pairs")
     assert rows(spark.sql("SELECT indel_ratio(a, b) FROM name_pairs WHERE a = 'ab'")) == [(0.5,), (1.0,)]
+
+
+def test_indel_of_long_and_mixed_lengths():
+    rng = random.Random(4)
+    sizes = [0, 1, 2, 63, 64, 65, 128, 200]
+    pairs = [["".join(rng.choices("ab é😀", k=rng.choice(sizes))) for _ in "xy"] for _ in range(60)]
+
+    def common(x, y):
+        row = [0] * (len(y) + 1)
+        for ch in x:
+            last = 0
+            for at, other in enumerate(y, 1):
+                last, row[at] = row[at], last + 1 if ch == other else max(row[at], row[at - 1])
+        return row[-1]
+
+    want = [2 * common(x, y) / (len(x) + len(y)) if x or y else 1.0 for x, y in pairs]
+    assert indel_pairs(*map(list, zip(*pairs))) == pytest.approx(want)

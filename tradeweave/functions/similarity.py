@@ -1,8 +1,8 @@
 """Jaro-Winkler and Indel ratio, the two similarities Spark does not have.
 
 Both are Arrow-batched pandas UDFs.  A batch is reduced to its distinct string
-pairs first; Jaro-Winkler then works on code-point matrices, so one numpy step
-advances thousands of pairs.
+pairs first; both then work on code-point matrices, so one numpy step advances
+thousands of pairs.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ BOOST_CHARS = 4
 BOOST_WEIGHT = 0.1
 
 _CHUNK = 4096
+_CELLS = 1 << 18
 
 
 def encode(strings: list[str], pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,21 +86,43 @@ def jaro_winkler_pairs(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
+def indel_rows(a: np.ndarray, len_a: np.ndarray, b: np.ndarray, len_b: np.ndarray) -> np.ndarray:
+    """Row-wise 2*LCS/(len a + len b) of two encoded blocks of equal height.
+
+    The LCS is kept as a row of bits per pair, 64 to a word: a bit turns to zero
+    where the LCS grows.  One step adds one character of ``b`` for all pairs.
+    """
+    n, words = len(a), -(-a.shape[1] // 64)
+    row = np.full((n, words), ~np.uint64(0))
+    same = np.zeros((n, words * 64), dtype=bool)
+    for at in range(b.shape[1]):
+        np.equal(a, b[:, at : at + 1], out=same[:, : a.shape[1]])
+        step = row & np.packbits(same, axis=1, bitorder="little").view(np.uint64)
+        kept = row & ~step
+        carry = np.zeros(n, dtype=np.uint64)
+        for word in range(words):
+            total = row[:, word] + step[:, word]
+            moved = total + carry
+            carry = ((total < step[:, word]) | (moved < total)).astype(np.uint64)
+            row[:, word] = moved | kept[:, word]
+    common = words * 64 - np.bitwise_count(row).sum(axis=1, dtype=np.int64)
+    length = len_a + len_b
+    return np.where(length > 0, 2 * common / np.maximum(length, 1), 1.0)
+
+
 def indel_pairs(a: list[str], b: list[str]) -> np.ndarray:
-    """2*LCS/(len a + len b) of aligned string lists; LCS kept as a bit row."""
+    """2*LCS/(len a + len b) of aligned string lists, in length order; blocks of
+    long texts have fewer rows, so that they stay within ``_CELLS`` characters."""
     out = np.ones(len(a))
-    for i, (x, y) in enumerate(zip(a, b)):
-        if not x and not y:
-            continue
-        places: dict[str, int] = {}
-        for at, ch in enumerate(x):
-            places[ch] = places.get(ch, 0) | (1 << at)
-        full = (1 << len(x)) - 1
-        row = full
-        for ch in y:
-            step = row & places.get(ch, 0)
-            row = ((row + step) | (row - step)) & full
-        out[i] = 2 * (len(x) - row.bit_count()) / (len(x) + len(y))
+    longest = np.array([max(len(x), len(y), 1) for x, y in zip(a, b)], dtype=np.int64)
+    order = np.argsort(-longest, kind="stable")
+    start = 0
+    while start < len(order):
+        part = order[start : start + max(1, min(_CHUNK, _CELLS // int(longest[order[start]])))]
+        enc_a, len_a = encode([a[i] for i in part], PAD_A)
+        enc_b, len_b = encode([b[i] for i in part], PAD_B)
+        out[part] = indel_rows(enc_a, len_a, enc_b, len_b)
+        start += len(part)
     return out
 
 

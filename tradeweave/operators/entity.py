@@ -17,7 +17,7 @@ that has at least one partner, so the work is a search for existence:
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -181,12 +181,23 @@ def _same_name_hits(keys: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _near_price_hits(keys: DataFrame, total: int, rule: Rule) -> DataFrame:
+def _cut(df: DataFrame, group: Sequence[str], place: Column, name: str) -> DataFrame:
+    """Adds ``name``, a number that cuts each group of more than ``GROUP_ROWS`` rows
+    by ``place`` (from 0 up to 1).  Other groups stay whole, whatever the input."""
+    n = F.count(F.lit(1))
+    big = df.groupBy(*group).agg(F.ceil(n / GROUP_ROWS).alias("__cuts")).where("__cuts > 1")
+    # At most one row per GROUP_ROWS rows; written so that its real size is known.
+    big = materialize(big, "entity-cuts")
+    cut = F.floor(place * F.coalesce("__cuts", F.lit(1))).cast("int")
+    return df.join(big, list(group), "left").withColumn(name, cut).drop("__cuts")
+
+
+def _near_price_hits(keys: DataFrame, rule: Rule) -> DataFrame:
     """Keys scored against the nearest prices of the other side in their blocks.
 
     A block is a name feature within a 5 % price band.  A block too big for one
-    task is spread by hash: fewer partners are seen then, which only leaves more
-    keys to the exact step.
+    task is cut into price ranges, and by name what is still too big: partners
+    across a cut are missed, which only leaves more keys to the exact step.
     """
     words = F.split("name", " ")
     blocks = F.array(
@@ -200,12 +211,16 @@ def _near_price_hits(keys: DataFrame, total: int, rule: Rule) -> DataFrame:
             }.items()
         ]
     )
-    band = F.when(F.col("price") > 0, F.floor(F.log("price") * 20)).otherwise(-(1 << 40))
-    spread = math.ceil(total / GROUP_ROWS)
-    blocked = keys.select("side", "name", "price", F.inline(blocks)).withColumns(
-        {"band": band, "lane": F.pmod(F.xxhash64("name", "price"), F.lit(spread))}
-    )
-    group = Window.partitionBy("tag", "block", "band", "lane").rowsBetween(
+    scale = F.log("price") * 20
+    band = F.when(F.col("price") > 0, F.floor(scale)).otherwise(-(1 << 40))
+    in_band = F.when(F.col("price") > 0, scale - F.floor(scale)).otherwise(0.0)
+    by_name = F.pmod(F.xxhash64("name"), F.lit(1 << 20)) / (1 << 20)
+    parts = ["tag", "block", "band", "range"]
+    blocked = keys.select("side", "name", "price", F.inline(blocks)).withColumn("band", band)
+    blocked = _cut(_cut(blocked, parts[:3], in_band, "range"), parts, by_name, "lane")
+    # Named here, as a join on the blocks alone would do for the window too.
+    blocked = blocked.repartition(*parts, "lane")
+    group = Window.partitionBy(*parts, "lane").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     # Opposite directions, both reading backwards: a running value is cheap,
@@ -349,7 +364,7 @@ def matched_keys(a: DataFrame, b: DataFrame, rule: Rule = Rule()) -> DataFrame:
         return keys.limit(0)
 
     tried = _same_name_hits(keys, rule).unionByName(
-        _near_price_hits(keys, sum(sizes.values()), rule)
+        _near_price_hits(keys, rule)
     )
     tried = materialize(
         tried.groupBy("side", "name", "price").agg(F.max("hit").alias("hit")), "entity-tried"

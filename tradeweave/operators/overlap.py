@@ -1,7 +1,7 @@
 """Influencer overlap: profiles against sales partnerships by a shared key.
 
-Document stores match a null or missing key with a null or missing key, so the
-default comparison is null-safe; ``null_safe=False`` gives SQL semantics.
+A null key matches nothing.  Document stores match a null or missing key with a
+null or missing key; ``null_safe=True`` does the same.
 
 Inner and anti joins are left to Spark: the anti joins only need the other
 side's distinct keys, and AQE splits the partitions of a frequent key.
@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradeweave.workspace import materialize
+
 
 def _same(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> Column:
     return left[key].eqNullSafe(right[key]) if null_safe else left[key] == right[key]
@@ -41,11 +43,28 @@ def exclusive_rows(
 def overlap_split(
     profiles: DataFrame, sales: DataFrame, key: str = "email", null_safe: bool = False
 ) -> dict[str, DataFrame]:
-    """The three parts: common, only in profiles, only in partnerships."""
+    """The three parts: common, only in profiles, only in partnerships.
+
+    Each side is read and marked once with whether the other side has its key;
+    the parts are taken from the marked rows, which are written first.
+    """
+
+    def marked(df: DataFrame, other: DataFrame, label: str) -> DataFrame:
+        keys = other.select(F.col(key).alias("__key")).distinct().withColumn("__shared", F.lit(True))
+        same = df[key].eqNullSafe(keys["__key"]) if null_safe else df[key] == keys["__key"]
+        joined = df.join(keys, same, "left").withColumn("__shared", F.col("__shared").isNotNull())
+        return materialize(joined.drop("__key"), label)
+
+    left = marked(profiles, sales, "overlap-profiles")
+    right = marked(sales, profiles, "overlap-sales")
+
+    def part(df: DataFrame, shared: bool) -> DataFrame:
+        return df.where(F.col("__shared") == shared).drop("__shared")
+
     return {
-        "common": common_rows(profiles, sales, key, null_safe),
-        "only_profiles": exclusive_rows(profiles, sales, key, null_safe),
-        "only_sales": exclusive_rows(sales, profiles, key, null_safe),
+        "common": common_rows(part(left, True), part(right, True), key, null_safe),
+        "only_profiles": part(left, False),
+        "only_sales": part(right, False),
     }
 
 

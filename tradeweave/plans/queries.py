@@ -173,7 +173,6 @@ def sink_overwrite(spark, sf):
 @query
 def sink_overwrite_many(spark, sf):
     parts = op.overlap_split(v.profiles(spark, sf), v.partnerships(spark, sf))
-    parts = {kind: df.select("email") for kind, df in parts.items()}
     paths = sinks.overwrite_many(parts, new_path(spark, "overlap"))
     loaded = [
         spark.read.parquet(p).select(F.lit(kind).alias("output"), "email")
@@ -197,10 +196,9 @@ def sink_append(spark, sf):
 @query
 def sink_append_new_only(spark, sf):
     path = new_path(spark, "append-new")
-    names = ["name", "source"]
-    both = v.mediated_a(spark, sf).unionByName(v.mediated_b(spark, sf)).select(*names)
-    sinks.append_new_only(both, _empty_table(both, path), names)
-    sinks.append_new_only(both, path, names)
+    both = v.mediated_a(spark, sf).unionByName(v.mediated_b(spark, sf))
+    sinks.append_new_only(both, _empty_table(both, path), both.columns)
+    sinks.append_new_only(both, path, both.columns)
     return spark.read.parquet(path)
 
 
@@ -293,9 +291,7 @@ def render_text(spark, sf):
 
 @query
 def render_json(spark, sf):
-    return op.render_json(
-        v.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    )
+    return op.render_json(v.table(spark, sf, "labels"))
 
 
 @query
@@ -426,9 +422,8 @@ def exclusive_sales(spark, sf):
 @query
 def overlap_split(spark, sf):
     parts = op.overlap_split(v.profiles(spark, sf), v.partnerships(spark, sf))
-    return sources.global_view(
-        [df.select(F.lit(kind).alias("kind"), "_id", "email") for kind, df in parts.items()]
-    )
+    marked = {kind: df.select(F.lit(kind).alias("kind"), "*") for kind, df in parts.items()}
+    return sources.combined_view(marked, {})
 
 
 @query
@@ -479,11 +474,12 @@ def column_overlap(spark, sf):
 
 @query
 def partner_products(spark, sf):
-    return op.partner_products(
-        v.partnerships(spark, sf),
-        combined_view(spark, sf),
-        _overlap_column(spark, sf).first()["column"],
-    )
+    found = _overlap_column(spark, sf).first()
+    items = combined_view(spark, sf)
+    column = found["column"] if found else "nameitem"
+    matched = op.partner_products(v.partnerships(spark, sf), items, column)
+    # Without a column that speaks of categories nothing is a partner product.
+    return matched if found else matched.limit(0)
 
 
 B_COLUMNS = ("primary_key", *v.KEYED_B)
@@ -492,8 +488,8 @@ B_COLUMNS = ("primary_key", *v.KEYED_B)
 def _matches(spark, sf, keep, threshold):
     """Fields found in catalog A's documents against catalog B's columns; the
     first column of either side is its key and does not take part."""
-    fields = sources.discover_fields(v.documents_a(spark, sf), "doc")
-    return op.match_columns(spark, fields[1:], B_COLUMNS[1:], threshold, keep)
+    fields = sources.discover_fields(v.documents_a(spark, sf), "doc").where("ordinal > 0")
+    return op.match_columns(spark, fields, B_COLUMNS[1:], threshold, keep)
 
 
 @query

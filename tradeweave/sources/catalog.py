@@ -83,7 +83,8 @@ def field_profile(docs: DataFrame, document: str | Column) -> DataFrame:
     )
 
 
-def discover_fields(docs: DataFrame, document: str | Column) -> list[str]:
-    """Field names of a document column in their order of appearance."""
-    found = field_profile(docs, document).orderBy("ordinal", "field")
-    return [row["field"] for row in found.select("field").collect()]
+def discover_fields(docs: DataFrame, document: str | Column) -> DataFrame:
+    """(ordinal, field): the field names of a document column, in order of
+    appearance by ``ordinal`` and name.  A frame, as documents whose keys are
+    data have as many names as documents."""
+    return field_profile(docs, document).select("ordinal", "field")
