@@ -318,6 +318,18 @@ def test_jaccard_of_mostly_common_shingles(spark, monkeypatch):
     assert all(found[2 * p] == found[2 * p + 1] for p in range(12))
 
 
+def test_jaccard_of_small_sets_and_larger_partners(spark):
+    sizes = [(47, 62), (47, 60), (46, 61), (45, 60), (44, 58), (36, 48)] * 60
+    rows = []
+    for pair, (small, large) in enumerate(sizes):
+        words = [f"p{pair}w{i}" for i in range(large + 4)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[: small + 4]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert [p for p in range(len(sizes)) if found[2 * p + 1] != 2 * p] == []
+    assert jaccard.keep_one(docs).count() == len(sizes)
+
+
 @pytest.mark.parametrize("name", sorted(llm_queries.ORACLE))
 def test_sql_twins(spark, name):
     assert compare(llm_queries.QUERIES[name](spark, SF), oracle_connection(SF), llm_queries.ORACLE[name]) is None

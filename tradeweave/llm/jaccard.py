@@ -7,8 +7,9 @@
    two sets with similarity 0.75 share none of their ``NEED`` lowest with
    probability at most 4 ** -NEED (4e-15), the size of a hash collision.
    For the same reason a class of which fewer than ``REPEATED`` low shingles
-   occur elsewhere has no partner (probability 3e-15; small sets, whose low
-   shingles are all, must share three in four). Shingles of more than ``HOT``
+   occur elsewhere has no partner (probability 3e-15). Small sets, whose low
+   shingles are all, must share three in four, less what a larger partner does
+   not list; that bound is exact. Shingles of more than ``HOT``
    classes are passed over in favour of the next ones, and of as many more as
    were passed over: what two sets share may be mostly hot. A class with more
    than ``PASSED`` hot ones keeps them all (probability below 1e-11 in any mix).
@@ -128,7 +129,9 @@ def tiles(classes: DataFrame) -> DataFrame:
         {"hot_before": F.sum("hot").over(own.orderBy("pos")), "hot_all": F.sum("hot").over(own)}
     )
     repeats = F.count("*").over(own)
-    enough = F.when(F.col("held") < LOW, OF * repeats >= SHARE * F.col("held")).otherwise(repeats >= REPEATED)
+    # a partner of up to held * OF / SHARE shingles lists LOW of them: all that it leaves out may be shared
+    listed = SHARE * repeats >= SHARE * LOW - (OF - SHARE) * F.col("held")
+    enough = F.when(F.col("held") < LOW, (OF * repeats >= SHARE * F.col("held")) | listed).otherwise(repeats >= REPEATED)
     ranked = ranked.withColumn("enough", enough).where("enough")
     few = (F.col("held") - F.col("hot_all") < NEED) | (F.col("hot_all") > PASSED)
     cold_place = F.col("pos") - F.col("hot_before")
