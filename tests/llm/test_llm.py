@@ -242,6 +242,31 @@ def test_fingerprints(docs):
             assert r.near_edited == 1 or text != edited
 
 
+def paragraphs(text):
+    return set(re.findall(r"[^.,;:!?|\n]{1,80}[.,;:!?|\n]?", text or ""))
+
+
+def dice(a, b):
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+
+
+@pytest.mark.parametrize("rounds", [10])
+def test_fingerprint_likeness_is_that_of_whole_texts(spark, monkeypatch, rounds):
+    """One round of peeling fails in most parts, so that the retries and the exact way decide."""
+    monkeypatch.setattr(fingerprint, "ROUNDS", rounds)
+    rows = [(i, "".join(f"clause {i // 2} {k if k % 3 else i * 10_000 + k}. " for k in range(n))) for i, n in enumerate([3, 24, 97, 97, 800, 800, 12])]
+    rows += [(20, None), (21, ""), (22, "..."), (23, "one")]
+    order = sorted(rows, reverse=True)
+    found = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        text, after = text or "", after or ""
+        third = len(text) // 3
+        edited = text[: len(text) - third] + after[:third]
+        assert found[i].near_edited == pytest.approx(dice(paragraphs(text), paragraphs(edited))), i
+        assert found[i].near_next == pytest.approx(dice(paragraphs(text), paragraphs(after))), i
+        assert (found[i].fingerprint == found[i].edited_fingerprint) == (paragraphs(text) == paragraphs(edited)), i
+
+
 def test_warc(spark):
     rows = [(1, "u", "<p>é</p>"), (2, "u\r\nX: y", "<p>é</p>"), (3, None, None), (4, "u", ""), (5, "u", "WARC/1.1\r\nX-Boundary: 0\r\n\r\n\r\n\n")]
     rows += [(None, "u", "<p>é</p>"), (None, None, "alone"), (5, "u", "WARC/1.1\r\nX-Boundary: 0\r\n\r\n\r\n\n")]

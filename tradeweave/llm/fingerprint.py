@@ -1,15 +1,18 @@
 """Document fingerprints as invertible Bloom lookup sketches, in SQL functions only.
 
 A text is a set of paragraphs: stretches cut at punctuation and line breaks, at
-most ``PARAGRAPH`` characters long. Each is a 32-bit digest; long texts keep
-those whose second hash ends in ``level`` zero bits, so that about ``KEEP``
-remain. Every digest goes into three of ``CELLS`` cells, which hold a count and
-the XOR of (check, digest). Two sketches subtract cell by cell; peeling takes
-out cells with one digest until none is left, which recovers the digests that
-differ. Where that fails, the digests are dealt over ``2 ** k`` sketches by
-their bits, that is, the sketch is made again and larger.
-
-Likeness is the Dice coefficient of the two sets at the coarser level.
+most ``PARAGRAPH`` characters long. Each is a 32-bit digest, and every digest
+is in the sketch: the set is dealt by a hash over ``2 ** level`` parts of about
+``KEEP`` digests. In its part a digest goes into three of ``CELLS`` cells,
+which hold a count and the XOR of (check, digest). Two sketches of one level
+subtract cell by cell; peeling takes out cells with one digest until none is
+left, which recovers the digests that differ. A part where that fails is made
+again, dealt over ``2 ** k`` sketches with other cells; where all fail, the
+difference of that part is taken from its digests themselves.
+
+Likeness is the Dice coefficient of the two whole sets. The printed fingerprint
+is the number of digests and the parts added up, cell by cell: a fixed length,
+in which every digest counts.
 
 Defined results: null texts are empty, have no paragraphs and are alike (1.0)
 only with texts of equal fingerprint; rows that agree in id and text are one
@@ -19,6 +22,8 @@ a single document is its own next.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,24 +37,24 @@ CELLS, GROUP = 48, 16
 LARGER = (2, 4)
 ROUNDS = 10
 DIGEST = 0xFFFFFFFF
-CELL_TYPE = "array<struct<c:int,v:bigint>>"
 
 
-def _bits(key: Column) -> Column:
-    """The three cells of a digest as bits of a long."""
-    bit = lambda j: F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(j * GROUP) + F.pmod(F.xxhash64(key, F.lit(j)), F.lit(GROUP))).cast("int"))
+def _bits(key: Column, salt: int = 0) -> Column:
+    """The three cells of a digest as bits of a long; each ``salt`` gives other cells."""
+    place = lambda j: F.xxhash64(key, F.lit(j), F.lit(salt)) if salt else F.xxhash64(key, F.lit(j))
+    bit = lambda j: F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(j * GROUP) + F.pmod(place(j), F.lit(GROUP))).cast("int"))
     return bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
 
 
 def _value(key: Column) -> Column:
     """Check bits above the digest."""
-    check = F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit(0xFFFF))
+    check = F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit(0x7FFFFFFF))
     return F.shiftleft(check, 32).bitwiseOR(key)
 
 
-def _at_level(key: Column, level: Column) -> Column:
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1
-    return F.xxhash64(key, F.lit(9)).bitwiseAND(mask) == 0
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once, by a one-element array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def digests(text: Column) -> Column:
@@ -58,94 +63,139 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p).bitwiseAND(F.lit(DIGEST))))
 
 
-def sampled(keys: Column) -> Column:
-    """``level`` and the ``keys`` kept at it."""
-    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(keys), F.lit(1)) / F.lit(KEEP)))).cast("int")
-    kept = F.transform(F.array(level), lambda n: F.struct(n.alias("level"), F.filter(keys, lambda k: _at_level(k, n)).alias("keys")))
-    return F.element_at(kept, 1)
+def level_of(keys: Column) -> Column:
+    """The level that leaves about ``KEEP`` digests, or fewer, in a part."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(keys), F.lit(1)) / F.lit(KEEP)))).cast("int")
 
 
-def sketch(keys: Column) -> Column:
+def sketch(keys: Column, salt: int = 0) -> Column:
     """Cells of a set of digests."""
-    entries = F.transform(keys, lambda k: F.struct(_bits(k).alias("b"), _value(k).alias("v")))
+    entries = F.transform(keys, lambda k: F.struct(_bits(k, salt).alias("b"), _value(k).alias("v")))
     empty = F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("v"))
+    masks = F.expr(f"array({', '.join(f'{1 << i}L' for i in range(CELLS))})")
 
-    def cell(i: Column, own: Column) -> Column:
-        mine = F.filter(own, lambda e: F.call_function("shiftright", e.b, i).bitwiseAND(F.lit(1)) == 1)
+    def cell(mask: Column, own: Column) -> Column:
+        mine = F.filter(own, lambda e: e.b.bitwiseAND(mask) != 0)
         return F.aggregate(mine, empty, lambda a, e: F.struct((a.c + 1).alias("c"), a.v.bitwiseXOR(e.v).alias("v")))
 
-    # bound by a one-element array, so that the entries are made once and not for every cell
-    made = F.transform(F.array(entries), lambda own: F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda i: cell(i, own)))
-    return F.element_at(made, 1)
+    # the entries are made once and not for every cell
+    return _bound(entries, lambda own: F.transform(masks, lambda m: cell(m, own)))
+
+
+def parts_of(keys: Column, level: Column) -> Column:
+    """``keys`` and ``cells`` of the parts at a level.
+
+    Dealt by the lower half of the level's bits, then by the upper half, so
+    that the work for a digest grows with the root of the number of parts.
+    """
+    one = F.lit(1).cast("long")
+    low = F.floor(level / 2).cast("int")
+    size = lambda bits: F.call_function("shiftleft", one, bits)
+    # numbers of places and the shift are made once, not for every digest
+    plan = F.struct(size(low).alias("low"), size(level - low).alias("high"), low.alias("shift"))
+
+    def parts(by: Column) -> Column:
+        dealt = F.transform(
+            keys,
+            lambda k: F.struct(
+                F.xxhash64(k, F.lit(9)).bitwiseAND(by.low - 1).alias("p"),
+                F.call_function("shiftright", F.xxhash64(k, F.lit(9)), by["shift"]).bitwiseAND(by.high - 1).alias("q"),
+                k.alias("k"),
+            ),
+        )
+        groups = _bound(dealt, lambda every: F.transform(F.sequence(F.lit(0).cast("long"), by.low - 1), lambda p: F.filter(every, lambda e: e.p == p)))
+        own = lambda group, q: F.transform(F.filter(group, lambda e: e.q == q), lambda e: e.k)
+        dealt_again = lambda group: F.transform(F.sequence(F.lit(0).cast("long"), by.high - 1), lambda q: own(group, q))
+        return F.transform(F.flatten(F.transform(groups, dealt_again)), lambda k: F.struct(k.alias("keys"), sketch(k).alias("cells")))
+
+    return _bound(plan, parts)
 
 
-def peeled(a: Column, b: Column) -> Column:
+def peeled(a: Column, b: Column, salt: int = 0) -> Column:
     """Digests in one sketch only: ``c`` is 1 for ``a``, -1 for ``b``; null if peeling fails."""
     difference = F.zip_with(a, b, lambda x, y: F.struct((x.c - y.c).alias("c"), x.v.bitwiseXOR(y.v).alias("v")))
-    start = F.struct(difference.alias("cells"), F.array().cast("array<struct<c:int,v:bigint,b:bigint>>").alias("found"))
+    none = F.array().cast("array<struct<c:int,v:bigint,b:bigint>>")
+    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(True).alias("more"))
 
     def pure(x: Column) -> Column:
         return (F.abs(x.c) == 1) & (_value(x.v.bitwiseAND(F.lit(DIGEST))) == x.v)
 
-    def take(cells: Column, found: Column) -> Column:
+    def take(s: Column) -> Column:
         now = F.array_distinct(
-            F.transform(F.filter(cells, pure), lambda x: F.struct(x.c.alias("c"), x.v.alias("v"), _bits(x.v.bitwiseAND(F.lit(DIGEST))).alias("b")))
+            F.transform(F.filter(s.cells, pure), lambda x: F.struct(x.c.alias("c"), x.v.alias("v"), _bits(x.v.bitwiseAND(F.lit(DIGEST)), salt).alias("b")))
         )
 
         def without(x: Column, i: Column, gone: Column) -> Column:
             here = F.filter(gone, lambda p: F.call_function("shiftright", p.b, i).bitwiseAND(F.lit(1)) == 1)
             return F.aggregate(here, x, lambda y, p: F.struct((y.c - p.c).alias("c"), y.v.bitwiseXOR(p.v).alias("v")))
 
-        made = F.transform(
-            F.array(now),
-            lambda gone: F.struct(F.transform(cells, lambda x, i: without(x, i, gone)).alias("cells"), F.concat(found, gone).alias("found")),
-        )
-        return F.element_at(made, 1)
+        def after(gone: Column) -> Column:
+            cells = F.transform(s.cells, lambda x, i: without(x, i, gone))
+            made = F.struct(cells.alias("cells"), F.concat(s.found, gone).alias("found"), F.lit(True).alias("more"))
+            return F.when(F.size(gone) > 0, made).otherwise(F.struct(s.cells.alias("cells"), s.found.alias("found"), F.lit(False).alias("more")))
+
+        return _bound(now, after)
 
     def step(s: Column, _: Column) -> Column:
-        return F.when(F.exists(s.cells, pure), take(s.cells, s.found)).otherwise(s)
+        return F.when(s.more, take(s)).otherwise(s)
 
     def finish(s: Column) -> Column:
-        return F.when(~F.exists(s.cells, lambda x: (x.c != 0) | (x.v != 0)), s.found)
+        return F.when(~F.exists(s.cells, lambda x: (x.c != 0) | (x.v != 0)), F.transform(s.found, lambda x: F.struct(x.c.alias("c"), x.v.bitwiseAND(F.lit(DIGEST)).alias("k"))))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, finish)
 
 
-def _differing(a: Column, b: Column) -> Column:
-    """Differing digests; the sketch is made larger until peeling succeeds."""
+def _exact(a: Column, b: Column) -> Column:
+    """The same from the digests themselves."""
+    side = lambda keys, sign: F.transform(keys, lambda k: F.struct(F.lit(sign).alias("c"), k.alias("k")))
+    return F.concat(side(F.array_except(a, b), 1), side(F.array_except(b, a), -1))
+
+
+def differing(a: Column, b: Column) -> Column:
+    """Differing digests of two parts: by peeling, by larger sketches with other cells, or exactly."""
     tries = [peeled(a.cells, b.cells)]
-    for k in LARGER:
+    for salt, k in ((0, k) for k in LARGER):
         deal = lambda keys, p: F.filter(keys, lambda x: F.pmod(F.xxhash64(x, F.lit(11)), F.lit(1 << k)) == p)  # noqa: B023,E731
         parts = F.transform(
             F.sequence(F.lit(0), F.lit((1 << k) - 1)),
-            lambda p: peeled(sketch(deal(a.keys, p)), sketch(deal(b.keys, p))),  # noqa: B023
+            lambda p: peeled(sketch(deal(a["keys"], p), salt), sketch(deal(b["keys"], p), salt), salt),  # noqa: B023
         )
-        tries.append(F.when(~F.exists(parts, F.isnull), F.flatten(parts)))
-    return F.coalesce(*tries)
+        tries.append(_bound(parts, lambda made: F.when(~F.exists(made, F.isnull), F.flatten(made))))
+    return F.coalesce(*tries, _exact(a["keys"], b["keys"]))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient from two sketches (structs of level, keys and cells)."""
+    """Dice coefficient from two sketches (structs of level, keys and parts)."""
     level = F.greatest(a.level, b.level)
+    at_level = lambda s: F.when(s.level == level, s.parts).otherwise(parts_of(s["keys"], level))
+    counts = F.zip_with(
+        at_level(a),
+        at_level(b),
+        lambda x, y: _bound(differing(x, y), lambda found: F.struct(F.size(found).alias("all"), F.size(F.filter(found, lambda f: f.c == 1)).alias("one"))),
+    )
+    start = F.struct(F.lit(0).alias("all"), F.lit(0).alias("one"))
+    total = F.aggregate(counts, start, lambda s, x: F.struct((s["all"] + x["all"]).alias("all"), (s.one + x.one).alias("one")))
 
-    def dice(found: Column) -> Column:
-        count = lambda sign: F.size(F.filter(found, lambda x: (x.c == sign) & _at_level(x.v.bitwiseAND(F.lit(DIGEST)), level)))
-        one, other = count(1), count(-1)
-        common = F.when(a.level >= b.level, F.size(a.keys) - one).otherwise(F.size(b.keys) - other)
-        return F.coalesce(F.try_divide(2.0 * common, 2.0 * common + one + other), F.lit(0.0))
+    def dice(t: Column) -> Column:
+        common = F.size(a["keys"]) - t.one
+        return F.coalesce(F.try_divide(2.0 * common, 2.0 * common + t["all"]), F.lit(1.0))
 
-    same = (a.level == b.level) & (a.cells == b.cells)
-    return F.when(same, F.lit(1.0)).otherwise(F.element_at(F.transform(F.array(_differing(a, b)), lambda found: F.coalesce(dice(found), F.lit(0.0))), 1))
+    return _bound(total, dice)
 
 
 def fingerprint(s: Column) -> Column:
-    """Level and cells as hex: 2 digits, then 2 + 12 for each cell."""
-    cells = F.transform(s.cells, lambda x: F.concat(F.lpad(F.hex(x.c), 2, "0"), F.lpad(F.hex(x.v), 12, "0")))
-    return F.concat(F.lpad(F.hex(s.level), 2, "0"), F.array_join(cells, ""))
+    """Number of digests and the added cells as hex: 8 digits, then 8 + 16 for each cell."""
+    empty = F.array_repeat(F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("v")), CELLS)
+    added = F.aggregate(
+        s.parts, empty, lambda own, p: F.zip_with(own, p.cells, lambda x, y: F.struct((x.c + y.c).alias("c"), x.v.bitwiseXOR(y.v).alias("v")))
+    )
+    cells = F.transform(added, lambda x: F.concat(F.lpad(F.hex(x.c), 8, "0"), F.lpad(F.hex(x.v), 16, "0")))
+    return F.concat(F.lpad(F.hex(F.size(s["keys"])), 8, "0"), F.array_join(cells, ""))
 
 
-def with_cells(s: Column) -> Column:
-    return F.struct(s.level.alias("level"), s["keys"].alias("keys"), sketch(s["keys"]).alias("cells"))
+def with_parts(keys: Column) -> Column:
+    level = level_of(keys)
+    return F.struct(level.alias("level"), keys.alias("keys"), parts_of(keys, level).alias("parts"))
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -180,15 +230,13 @@ def neighbours(ids: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").alias("doc"), text.alias("text")).withColumns(
-        {"digest": F.xxhash64("text"), "own": sampled(digests(F.col("text")))}
-    )
+    rows = docs.select(F.col("doc_id").alias("doc"), text.alias("text")).withColumn("digest", F.xxhash64("text"))
     ids = docs.select(F.col("doc_id").alias("doc"), F.xxhash64(text).alias("digest"), F.char_length(text).alias("n_chars")).distinct()
     pairs = neighbours(ids)
     # rows that agree in id and text are one document here, as they are in `pairs`
     heads = (
         rows.join(pairs, F.col("doc").eqNullSafe(F.col("next_doc")) & (F.col("digest") == F.col("next_digest")))
-        .select("of_doc", "of_digest", "third", F.expr("left(text, third)").alias("head"), F.col("own").alias("other"))
+        .select("of_doc", "of_digest", "third", F.expr("left(text, third)").alias("head"), digests(F.col("text")).alias("other"))
         .dropDuplicates(["of_doc", "of_digest"])
     )
     joined = rows.join(heads, F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("digest") == F.col("of_digest")))
@@ -197,9 +245,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.col("doc").alias("doc_id"),
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(edited, 256).alias("edited_sha256"),
-        F.struct("own", sampled(digests(edited)).alias("edit"), "other").alias("s"),
+        F.struct(digests(F.col("text")).alias("own"), digests(edited).alias("edit"), "other").alias("s"),
     )
-    built = made.withColumns({"a": with_cells(F.col("s.own")), "b": with_cells(F.col("s.edit")), "d": with_cells(F.col("s.other"))})
+    built = made.withColumns({"a": with_parts(F.col("s.own")), "b": with_parts(F.col("s.edit")), "d": with_parts(F.col("s.other"))})
     return built.select(
         "doc_id",
         "n_chars",
