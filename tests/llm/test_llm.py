@@ -250,7 +250,7 @@ def dice(a, b):
     return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
 
 
-@pytest.mark.parametrize("rounds", [10])
+@pytest.mark.parametrize("rounds", [10, 1])
 def test_fingerprint_likeness_is_that_of_whole_texts(spark, monkeypatch, rounds):
     """One round of peeling fails in most parts, so that the retries and the exact way decide."""
     monkeypatch.setattr(fingerprint, "ROUNDS", rounds)

@@ -154,7 +154,7 @@ def _exact(a: Column, b: Column) -> Column:
 def differing(a: Column, b: Column) -> Column:
     """Differing digests of two parts: by peeling, by larger sketches with other cells, or exactly."""
     tries = [peeled(a.cells, b.cells)]
-    for salt, k in ((0, k) for k in LARGER):
+    for salt, k in enumerate(LARGER, 1):
         deal = lambda keys, p: F.filter(keys, lambda x: F.pmod(F.xxhash64(x, F.lit(11)), F.lit(1 << k)) == p)  # noqa: B023,E731
         parts = F.transform(
             F.sequence(F.lit(0), F.lit((1 << k) - 1)),
