@@ -1,7 +1,8 @@
 """DuckDB twins of the operators that SQL can express, over whole tables.
 
 The rest has none: the ids of a tokenizer (op1, op2, op4), learned models and
-bounds (op5, op9), sketches (op7), and byte strings that start at every byte of
+bounds (op5, op9), sketches (op7), a hash that DuckDB lacks (op12), eigenvectors
+(op13), and byte strings that start at every byte of
 a text (op3, too slow in SQL).  Tests hold those against brute force.
 """
 
@@ -96,4 +97,52 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM ranked
 """
 
-ORACLE = {"op6_jaccard_join": OP6, "op8_substring_dedup": OP8, "op10_warc_archive": OP10}
+#: Documents by mask, masks by order, orders by step.
+OP11 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{WORDS}') AS words FROM documents
+),
+flags AS (
+  SELECT doc_id, max(CAST(quality = 1 AS BIGINT)) AS good, max(CAST(toxic = 1 AS BIGINT)) AS toxic FROM labels GROUP BY doc_id
+),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, MAP {{
+    'A': len(words) < 100,
+    'B': 100 * len(list_distinct(words)) < 80 * len(words),
+    'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+    'D': regexp_matches(text, '[#$%&*|]'),
+    'E': coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)}} AS fails
+  FROM texts t LEFT JOIN flags f ON t.doc_id = f.doc_id
+),
+cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails),
+orders AS (
+  SELECT '' AS filter_order
+  UNION ALL
+  SELECT filter_order || letter FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter)
+  WHERE NOT contains(filter_order, letter)
+),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, filter_order[:step - 1] AS earlier
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders WHERE length(filter_order) = 5)
+),
+seen AS (
+  SELECT *, fails[own] AS hit,
+    len(list_filter(string_split(earlier, ''), lambda f: f <> '' AND coalesce(fails[f], false))) > 0 AS gone,
+    len(list_filter(map_values(fails), lambda f: f)) = 1 AS alone
+  FROM cells CROSS JOIN steps
+),
+summed AS (
+  SELECT part, filter_order, step, own,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND hit), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (hit AND alone), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (NOT gone AND hit), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (NOT gone AND hit), 0) AS BIGINT) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, own
+)
+SELECT * EXCLUDE own, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM summed
+"""
+
+ORACLE = {"op6_jaccard_join": OP6, "op8_substring_dedup": OP8, "op10_warc_archive": OP10, "op11_filter_audit": OP11}

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeweave.llm import bpe, fingerprint, jaccard, packing, quality, recompression, suffix_dedup, token_counts, toxicity, warc
+from tradeweave.llm import (
+    bpe,
+    filter_audit,
+    fingerprint,
+    jaccard,
+    packing,
+    quality,
+    recompression,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+    whitening,
+)
 from tradeweave.llm.common import table
 from tradeweave.llm.oracle import ORACLE
 
@@ -55,6 +69,19 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitening(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,6 +95,9 @@ QUERIES = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_warc_archive,
+        op11_filter_audit,
+        op12_simhash_dedup,
+        op13_embedding_whitening,
     )
 }
 
