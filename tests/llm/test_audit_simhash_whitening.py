@@ -285,3 +285,38 @@ def test_whitening_query(spark):
     rows = found.collect()
     assert len(rows) == 4 * spark.read.parquet(f"{SF}/embeddings.parquet").count()
     assert rows[0].identity_error < 1e-4
+
+
+# --- rows without ids of their own ------------------------------------------
+
+
+def test_keep_one_keeps_unrelated_rows_of_one_id(spark):
+    from tradeweave.llm import jaccard
+
+    rows = [(1, "a b c d e f"), (1, "g h i j k l"), (2, "a b c d e f"), (2, "other words go in here"), (3, "g h i j k l")]
+    rows += [(4, ""), (4, ""), (5, None), (6, "m n o p q r"), (6, "m n o p q r"), (None, "g h i j k l"), (None, "s t u v w x"), (None, "s t u v w x")]
+    kept = [tuple(r) for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    expected = [(1, "a b c d e f"), (1, "g h i j k l"), (2, "other words go in here"), (4, ""), (4, ""), (5, None), (6, "m n o p q r")]
+    expected += [(None, "s t u v w x")] * 2
+    assert collections.Counter(kept) == collections.Counter(expected)
+
+
+def test_rows_without_ids_are_told_apart(spark, monkeypatch):
+    """Texts without id whose short digests meet keep what only the other one repeats."""
+    from tradeweave.llm import anchors, recompression, suffix_dedup
+
+    monkeypatch.setattr(anchors, "DIGEST_BITS", 22)
+    rng = random.Random(6)
+    passage = " ".join(f"w{rng.randrange(900)}" for _ in range(120))
+    alone = [" ".join(f"x{k}y{rng.randrange(10**6)}" for _ in range(150)) for k in range(2)]
+    rows = [(None, alone[0]), (None, alone[1]), (7, f"start {passage} end"), (None, f"begin {passage} stop")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = anchors.keyed(docs).select("doc").collect()
+    assert len({r.doc for r in keys}) == 4
+    removed = {r.n_bytes: r.n_removed for r in suffix_dedup.suffix_dedup(docs).collect()}
+    assert [removed[len(t)] for t in alone] == [0, 0]
+    assert all(removed[len(t)] >= len(passage) for _, t in rows[2:])
+    words = [r.n_removed for r in recompression.substring_dedup(docs).collect()]
+    assert sorted(words) == [0, 0, 0, 120]
+    named = spark.createDataFrame([("a", f"start {passage}"), ("b", f"{passage} stop")], "doc_id string, text string")
+    assert all(r.n_removed >= len(passage) for r in suffix_dedup.suffix_dedup(named).collect())

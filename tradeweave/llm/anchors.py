@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tradeweave.llm.common import stored
 
@@ -48,15 +49,19 @@ def run_starts(places: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.nd
 def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     """``doc_id, doc, digest, text, row``: ``doc`` and ``digest`` name a row.
 
-    Rows that agree in both are repeated rows and get equal results. With
-    ``carry``, ``row`` holds the other columns and whether the text is null.
+    Rows that agree in both are repeated rows and get equal results. A row
+    without id is named by 62 more bits of its text, below all usual ids; ids
+    that are no whole numbers are named, and ordered, by a hash. With ``carry``, ``row`` holds the other columns and whether the text is null.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     row = F.struct(F.struct(*others).alias("other"), F.col("text").isNull().alias("no_text")) if carry else F.lit(None).cast("boolean")
+    whole = isinstance(docs.schema["doc_id"].dataType, IntegralType)
+    own = F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    no_id = F.lit(NO_ID) + F.xxhash64(F.lit("no id"), text).bitwiseAND(F.lit((1 << 62) - 1))
     return docs.select(
         "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.coalesce(own, no_id).alias("doc"),
         F.xxhash64(text).bitwiseAND(F.lit((1 << DIGEST_BITS) - 1)).alias("digest"),
         text.alias("text"),
         row.alias("row"),

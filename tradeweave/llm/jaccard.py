@@ -24,7 +24,8 @@
 
 Defined results: null and empty texts have an empty set and are linked with
 nothing; fewer than five words are one shingle; repeated rows are one class;
-rows with a null id are counted in sets but never name a component.
+rows with a null id are counted in sets but never name a component; rows that
+repeat an id with different texts are different documents.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -80,8 +81,13 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def mark(docs: DataFrame) -> Column:
+    """Tells rows of one id apart by their texts."""
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+
+
 def sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, cls, low``: size, digest (null: empty) and lowest shingles."""
+    """``doc_id, mark, n, cls, low``: hash of the text, size, digest (null: empty) and lowest shingles."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,14 +97,16 @@ def sets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("mark"),
                     pa.array([len(s) for s in all_sets], pa.int64()),
                     pa.array([digest(s) for s in all_sets], pa.binary()),
                     pa.array([signed(s[:LOW]) for s in all_sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "cls", "low"],
+                ["doc_id", "mark", "n", "cls", "low"],
             )
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, n long, cls binary, low array<long>")
+    rows = docs.select("doc_id", F.col("text").cast("string"), mark(docs).alias("mark"))
+    return rows.mapInArrow(run, f"doc_id {kind}, mark long, n long, cls binary, low array<long>")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -306,27 +314,61 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("top"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every document."""
+def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``doc_id, mark, n, cls`` of every row; the classes; and for each class but the
+    least of its component, that one (``node``, ``top``)."""
     every = stored(sets(docs), "jaccard-sets")
+    first = F.struct("doc_id", "mark")
     classes = stored(
-        every.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low")),
+        every.where("cls is not null")
+        .groupBy("cls")
+        .agg(
+            F.min("doc_id").alias("rep"),
+            # a row without id only where no row has one
+            F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), first)), F.min(first)).alias("first"),
+            F.max("n").alias("n"),
+            F.max("low").alias("low"),
+        ),
         "jaccard-classes",
     )
     placed = stored(tiles(classes), "jaccard-tiles")
     own_sets = stored(whole_sets(docs, placed.select("cls", "rep").distinct()), "jaccard-whole-sets")
-    found = components(links(placed, own_sets)).select(F.col("node.cls").alias("cls"), F.col("top.rep").alias("top"))
-    named = classes.select("cls", "rep").join(found, "cls", "left").select("cls", F.coalesce("top", "rep").alias("component_id"))
+    return every, classes, components(links(placed, own_sets))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every document."""
+    every, classes, found = linked(docs)
+    tops = found.select(F.col("node.cls").alias("cls"), F.col("top.rep").alias("top"))
+    named = classes.select("cls", "rep").join(tops, "cls", "left").select("cls", F.coalesce("top", "rep").alias("component_id"))
     named = stored(named, "jaccard-components")
     joined = every.select("doc_id", "n", "cls").join(named, "cls", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the smallest id."""
-    tops = stored(jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "jaccard-kept")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
-    kept = rows.join(tops, F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
-    first = F.row_number().over(W.partitionBy("id").orderBy(F.xxhash64("row.text")))
-    # rows without an id cannot be told apart and all stay
-    return kept.withColumn("place", first).where("place = 1 or id is null").select("row.*")
+    """One row of each component: one with its smallest id.
+
+    A row is known by its id and its text, so rows that repeat an id with
+    another text are judged on their own. Documents without words all stay, and
+    so do all rows without an id that repeat the kept text of their component.
+    What goes is decided on ids and hashes; whole rows are read once, and only
+    those that repeat an id and a text are ranked.
+    """
+    every, classes, found = linked(docs)
+    least = classes.join(found.select(F.col("node.cls").alias("cls")), "cls", "left_anti")
+    kept = least.select(F.col("first.doc_id").alias("id"), F.col("first.mark").alias("mark"))
+    rows = every.where("cls is not null").select(F.col("doc_id").alias("id"), "mark")
+    copies = rows.groupBy("id", "mark").agg(F.count("*").alias("copies"))
+    own = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0).cast(docs.schema["doc_id"].dataType)), "mark")
+    state = copies.withColumn("key", own).join(
+        kept.withColumn("key", own).select("key", F.lit(True).alias("stays")), "key", "left"
+    )
+    # most rows stay, once: only the others are named
+    named = stored(state.where("stays is null or copies > 1").select("id", "mark", "stays"), "jaccard-decided")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own"), mark(docs).alias("own_mark"))
+    same = F.col("own").eqNullSafe(F.col("id")) & (F.col("own_mark") == F.col("mark"))
+    once = whole.join(named, same, "left_anti").select("row")
+    again = whole.join(named.where("stays"), same, "left_semi")
+    ranked = again.withColumn("place", F.row_number().over(W.partitionBy("own", "own_mark").orderBy("own_mark")))
+    return once.unionByName(ranked.where("place = 1 or own is null").select("row")).select("row.*")
