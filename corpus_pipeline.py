@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeweave.llm import jaccard, packing, quality, suffix_dedup, toxicity
 from tradeweave.llm.common import stored, table
 
+#: Bytes of a repeated passage: some 50 words of short text have little more.
+PASSAGE_BYTES = 200
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -28,7 +31,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, PASSAGE_BYTES)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
