@@ -44,8 +44,6 @@ def matched(df, source):
 
 @pytest.mark.parametrize("threshold", [0.5, 0.7, 0.85, 0.95, 1.0])
 def test_members_equal_brute_force(spark, threshold, monkeypatch):
-    monkeypatch.setattr(entity, "CELL_WANTED", 7)
-    monkeypatch.setattr(entity, "CELL_OTHERS", 11)
     monkeypatch.setattr(entity, "GROUP_ROWS", 15)
     monkeypatch.setattr(similarity_join, "LANE_ROWS", 10)
     rng = random.Random(int(threshold * 100))

@@ -1,41 +1,37 @@
 """Entity resolution: which products have a counterpart in the other catalog.
 
 Two products match when ``0.7 * JaroWinkler(lower names) + 0.3 * price
-similarity`` reaches a threshold.  The result is not the pairs but every product
-that has at least one partner, so the work is a search for existence:
-
-1. Products collapse to distinct (name, price) keys before anything is compared.
-2. Each key is scored against a handful of likely partners: the lowest and
-   highest price under its own name, and the nearest prices on either side among
-   names sharing the first word, first two words or first letters.  Every hit is final,
-   and the cost is linear.
-3. Keys still without a partner are checked against all keys of the other side,
-   through a character-prefix join for strict thresholds and bounded grid cells
-   for loose ones.  This makes the answer exact.
+similarity`` reaches a threshold.
+
+* **Pairs of names, not of products.** A similarity join on the distinct names
+  of both sides scores each pair of names once, however many prices stand behind
+  them.  It is an equi join on character prefixes whose length follows from the
+  similarity that the closest prices of the two names leave to be reached.
+* **Nearest prices.** Whether a name at one price has a partner under another
+  name depends on the nearest prices of that name only; a sorted merge of asked
+  and known prices of each name finds them.
+
+``entity_match`` returns every product with at least one partner, a search for
+existence.  Distinct (name, price) keys are first scored against a handful of
+likely partners: the lowest and highest price under their own name, and the
+nearest prices among names sharing the first word, first two words or first
+letters.  Every hit is final and the cost is linear.  Only the names of keys
+still open take part in the similarity join, which makes the answer exact.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tradeweave.functions import jaro_winkler, price_similarity
-from tradeweave.functions.similarity import (
-    PAD_A,
-    PAD_B,
-    encode,
-    jaro_winkler_once,
-    jaro_winkler_rows,
-)
-from tradeweave.operators.similarity_join import grid_match, overlap_pairs
+from tradeweave.functions.similarity import BOOST_ABOVE, BOOST_CHARS, BOOST_WEIGHT, jaro_winkler_once
+from tradeweave.operators.similarity_join import overlap_pairs
 from tradeweave.workspace import materialize
 
 # Fixed values of the score.
@@ -43,16 +39,14 @@ THRESHOLD = 0.7
 NAME_WEIGHT = 0.7
 PRICE_WEIGHT = 0.3
 
-# Expected rows per window group and rows per grid cell side.
+# Expected rows per window group.
 GROUP_ROWS = 2_000_000
-CELL_WANTED = 2_000
-CELL_OTHERS = 10_000
-# Inside a cell: name pairs compared in one numpy step, and character classes.
-NAME_PAIRS = 16_384
-LETTERS = 64
-# Below this many shared characters (see overlap_pairs) prefixes cover most of
-# a name and a grid is cheaper.
-PREFIX_SHARE = 1.5
+# Narrowest price band of the pair join, as a difference of logarithms, and how
+# often it may double before prices are not banded at all.
+BAND_WIDTH = 0.01
+BAND_LEVELS = 9
+# Prices within 5 % share a group of the sorted merge.
+MERGE_WIDTH = 0.05
 
 _EPS = 1e-9
 
@@ -74,27 +68,25 @@ class Rule:
     def score(self, names, prices):
         return self.name_weight * names + self.price_weight * prices
 
-    @property
-    def share(self) -> float:
-        """The shared-character bound (see overlap_pairs) of any match."""
-        jw = (self.threshold - self.price_weight) / self.name_weight
-        return 3 * (jw if jw <= 0.7 else max(0.7, (jw - 0.4) / 0.6)) - 1
+    def needed(self, prices: Column) -> Column:
+        """The least name similarity of a match at a price similarity."""
+        return (self.threshold - self.price_weight * prices) / self.name_weight
 
-    @property
-    def price_share(self) -> float:
-        """The smallest price similarity a match can have; 0 if any will do."""
-        if not self.price_weight:
-            return 0.0
-        return max(0.0, (self.threshold - self.name_weight) / self.price_weight)
+    def share_at(self, prices: Column, lead: Column) -> Column:
+        """The shared-character bound (see overlap_pairs) at a price similarity and
+        a number of equal leading characters, which are what boosts a similarity."""
+        need, boost = self.needed(prices), BOOST_WEIGHT * lead
+        boosted = F.greatest(F.lit(BOOST_ABOVE), (need - boost) / (1 - boost))
+        return 3 * F.when(need <= BOOST_ABOVE, need).otherwise(boosted) - 1
 
     @property
-    def prefixes_pay(self) -> bool:
-        return self.share >= PREFIX_SHARE and (self.price_share > 0 or not self.price_weight)
-
-    def share_at(self, prices: Column) -> Column:
-        """``share`` of a pair whose price similarity is known, where prefixes pay."""
-        jw = (self.threshold - self.price_weight * prices) / self.name_weight
-        return (jw - 0.4) / 0.2 - 1
+    def share(self) -> float:
+        """The shared-character bound of any match."""
+        need = (self.threshold - self.price_weight) / self.name_weight
+        if need <= 0:
+            raise ValueError("a rule that equal prices alone satisfy does not compare names")
+        boost = BOOST_WEIGHT * BOOST_CHARS
+        return 3 * (need if need <= BOOST_ABOVE else max(BOOST_ABOVE, (need - boost) / (1 - boost))) - 1
 
     def key(self, df: DataFrame) -> dict[str, Column]:
         """What is compared: the lower-cased text and the price as a number."""
@@ -107,42 +99,49 @@ def _keys(df: DataFrame, side: str, rule: Rule) -> DataFrame:
     return df.select(F.lit(side).alias("side"), *key).dropna().distinct()
 
 
-def _price_bands(price_share: float) -> Callable[[str], Column]:
-    """Price bands such that similar enough prices are at most one band apart."""
-    if price_share <= 0:
-        return lambda price: F.lit(0).cast("long")
-    width = max(-math.log(min(price_share, 1.0)), _EPS) * (1 + _EPS)
-
-    def band(price: str) -> Column:
-        # Two non-positive prices count as equal, so they share one band.
-        return F.when(F.col(price) > 0, F.floor(F.log(price) / width)).otherwise(-(1 << 40))
-
-    return band
-
-
-def _candidates(left: DataFrame, right: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (name_a, price_a, …, name_b, price_b, …) that can match under a rule
-    strict enough for prefixes to pay."""
-    band = _price_bands(rule.price_share)
-    near = F.sequence(band("price_b") - 1, band("price_b") + 1)
-    return overlap_pairs(
-        left.withColumn("__band_a", band("price_a")),
-        right.withColumn("__band_b", F.explode(near)),
-        "name_a",
-        "name_b",
-        rule.share,
-        rule.share_at(price_similarity("price_a", "price_b")),
-        ("__band_a", "__band_b"),
+def _names(keys: DataFrame, side: str) -> DataFrame:
+    """Distinct names with the ends of their prices."""
+    return keys.groupBy(F.col("name").alias(f"name_{side}")).agg(
+        F.min("price").alias(f"low_{side}"), F.max("price").alias(f"high_{side}")
     )
 
 
-def _scored(pairs: DataFrame, rule: Rule) -> DataFrame:
-    return (
-        pairs.withColumn("name_similarity", jaro_winkler_once("name_a", "name_b"))
-        .withColumn("price_similarity", price_similarity("price_a", "price_b"))
-        .withColumn("score", rule.score(F.col("name_similarity"), F.col("price_similarity")))
-        .where(F.col("score") >= rule.threshold)
+def _closest() -> Column:
+    """An upper bound on the price similarity of two names' prices."""
+    gap_above = F.when(F.col("high_a") < F.col("low_b"), price_similarity("high_a", "low_b"))
+    gap_below = F.when(F.col("high_b") < F.col("low_a"), price_similarity("high_b", "low_a"))
+    # Below 0 only for prices of two signs, where the ends of the gap are not the closest.
+    return F.greatest(F.coalesce(gap_above, gap_below, F.lit(1.0)), F.lit(0.0))
+
+
+def _lead() -> Column:
+    """How many leading characters of two names are equal, as far as they count."""
+    same = [
+        (F.substring("name_a", 1, k) == F.substring("name_b", 1, k)) & (F.length("name_a") >= k) & (F.length("name_b") >= k)
+        for k in range(1, BOOST_CHARS + 1)
+    ]
+    return reduce(Column.__add__, [s.cast("int") for s in same])
+
+
+def name_pairs(keys_a: DataFrame, keys_b: DataFrame, rule: Rule) -> DataFrame:
+    """(name_a, name_b, name_similarity) of all names that can match at some price.
+
+    The frames have ``name`` and ``price``; each pair of names is scored once.
+    """
+    pairs = overlap_pairs(
+        _names(keys_a, "a"), _names(keys_b, "b"), "name_a", "name_b", rule.share, rule.share_at(_closest(), _lead())
     )
+    scored = pairs.withColumn("name_similarity", jaro_winkler_once("name_a", "name_b"))
+    able = rule.score(F.col("name_similarity"), _closest()) >= rule.threshold - _EPS
+    return scored.where(able).select("name_a", "name_b", "name_similarity")
+
+
+def _banded(level: str, price: str) -> Column:
+    """Bands of ``BAND_WIDTH * 2 ** level``; the last level has a single one."""
+    width = F.lit(BAND_WIDTH) * F.pow(F.lit(2.0), F.col(level))
+    # Two non-positive prices count as equal, so they share one band.
+    band = F.when(F.col(price) > 0, F.floor(F.log(price) / width)).otherwise(-(1 << 40))
+    return F.when(F.col(level) > BAND_LEVELS, 0).otherwise(band)
 
 
 def entity_match_pairs(a: DataFrame, b: DataFrame, rule: Rule) -> DataFrame:
@@ -150,23 +149,58 @@ def entity_match_pairs(a: DataFrame, b: DataFrame, rule: Rule) -> DataFrame:
 
     ``rows_a`` and ``rows_b`` count the products behind each key, so copies add
     no pairs.  The result grows with the number of pairs: meant for strict rules.
+
+    What a pair of names leaves to the prices sets how wide the price bands are
+    in which its prices meet.
     """
 
-    def counted(df: DataFrame, side: str) -> DataFrame:
-        key = [value.alias(f"{name}_{side}") for name, value in rule.key(df).items()]
-        names = [f"name_{side}", f"price_{side}"]
-        rows = F.count(F.lit(1)).alias(f"rows_{side}")
-        return df.select(*key).dropna().groupBy(*names).agg(rows)
+    def counted(df: DataFrame) -> DataFrame:
+        key = [value.alias(name) for name, value in rule.key(df).items()]
+        return df.select(*key).dropna().groupBy("name", "price").agg(F.count(F.lit(1)).alias("rows"))
+
+    def sided(keys: DataFrame, side: str) -> DataFrame:
+        return keys.withColumnsRenamed({c: f"{c}_{side}" for c in keys.columns})
 
-    keys_a = materialize(counted(a, "a"), "entity-keys-a")
-    keys_b = materialize(counted(b, "b"), "entity-keys-b")
-    if rule.prefixes_pay:
-        pairs = _candidates(keys_a, keys_b, rule)
+    keys_a = materialize(counted(a), "entity-keys-a")
+    keys_b = materialize(counted(b), "entity-keys-b")
+    if rule.price_weight:
+        need = (rule.threshold - rule.name_weight * F.col("name_similarity")) / rule.price_weight - _EPS
+        doublings = F.ceil(F.log2(-F.log(need) / BAND_WIDTH + _EPS)).cast("int")
+        level = F.when(need >= 1, 0).when(
+            need > math.exp(-BAND_WIDTH * 2**BAND_LEVELS), F.greatest(doublings, F.lit(0))
+        )
+        level = F.coalesce(level, F.lit(BAND_LEVELS + 1))
     else:
-        pairs = _grid(keys_a, keys_b, keys_a.count(), keys_b.count(), rule, all_pairs=True)
-    return _scored(pairs, rule).select(
-        "name_a", "price_a", "rows_a", "name_b", "price_b", "rows_b",
-        "name_similarity", "price_similarity", "score",
+        level = F.lit(BAND_LEVELS + 1)
+    names = materialize(name_pairs(keys_a, keys_b, rule).withColumn("level", level), "entity-names")
+    left = (
+        sided(keys_a, "a")
+        .join(names, "name_a")
+        .withColumn("band", _banded("level", "price_a"))
+        .withColumn(
+            "band",
+            F.explode(
+                F.when(F.col("level") > BAND_LEVELS, F.array("band")).otherwise(
+                    F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)
+                )
+            ),
+        )
+    )
+    right = (
+        sided(keys_b, "b")
+        .join(names.select("name_b", "level").distinct(), "name_b")
+        .withColumn("band", _banded("level", "price_b"))
+    )
+    close = price_similarity("price_a", "price_b")
+    return (
+        left.join(right, ["name_b", "level", "band"])
+        .withColumn("price_similarity", close)
+        .withColumn("score", rule.score(F.col("name_similarity"), F.col("price_similarity")))
+        .where(F.col("score") >= rule.threshold)
+        .select(
+            "name_a", "price_a", "rows_a", "name_b", "price_b", "rows_b",
+            "name_similarity", "price_similarity", "score",
+        )
     )
 
 
@@ -249,138 +283,79 @@ def _near_price_hits(keys: DataFrame, rule: Rule) -> DataFrame:
     return tried.select("side", "name", "price", (hit("below") | hit("above")).alias("hit"))
 
 
-def _letter_counts(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """How often each of ``LETTERS`` character classes occurs per encoded name."""
-    rows, at = np.nonzero(np.arange(codes.shape[1]) < lengths[:, None])
-    counts = np.zeros((len(codes), LETTERS), dtype=np.int16)
-    np.add.at(counts, (rows, codes[rows, at] % LETTERS), 1)
-    return counts
-
+def nearest_prices(asked: DataFrame, known: DataFrame, name: str) -> DataFrame:
+    """``asked`` with ``below``, ``above`` and ``top``: of the ``known`` prices under
+    the same name, the nearest ones on either side and the highest.
 
-def _similar_names(names_a: list[str], names_b: list[str], share: float):
-    """For each A name: positions of the B names that can be part of a match, and
-    their Jaro-Winkler similarities.
-
-    Shared character classes bound the shared characters from above, so most
-    pairs are settled by counting.
+    Both frames have ``name`` and ``price``.  The sorted merge runs in price
+    ranges of ``MERGE_WIDTH``; what lies beyond a range comes from the ends of the
+    ranges next to it, so that a frequent name is spread over many tasks.
     """
-    codes_a, len_a = encode(names_a, PAD_A)
-    codes_b, len_b = encode(names_b, PAD_B)
-    counts_a, counts_b = _letter_counts(codes_a, len_a), _letter_counts(codes_b, len_b)
-    step = max(1, NAME_PAIRS // len(names_b))
-    for start in range(0, len(names_a), step):
-        part = slice(start, start + step)
-        common = np.zeros((len(codes_a[part]), len(names_b)), dtype=np.int32)
-        for letter in range(LETTERS):
-            common += np.minimum(counts_a[part, letter, None], counts_b[None, :, letter])
-        size_a, size_b = np.maximum(len_a[part, None], 1), np.maximum(len_b[None, :], 1)
-        empty = (len_a[part, None] == 0) & (len_b[None, :] == 0)
-        row, col = np.nonzero((common / size_a + common / size_b >= share - _EPS) | empty)
-        row += start
-        width_a, width_b = int(len_a[part].max(initial=1)), codes_b.shape[1]
-        similarity = jaro_winkler_rows(
-            codes_a[row, : max(width_a, 1)], len_a[row], codes_b[col, :width_b], len_b[col]
-        )
-        ends = np.searchsorted(row, np.arange(start, start + len(common) + 1))
-        for i in range(len(common)):
-            here = slice(ends[i], ends[i + 1])
-            yield col[here], similarity[here]
-
-
-def _cell_hits(
-    wanted: pd.DataFrame, others: pd.DataFrame, rule: Rule, all_pairs: bool
-) -> tuple[list, list]:
-    """Row positions of the pairs in a cell that reach the threshold; only the
-    first partner of each wanted row unless ``all_pairs``."""
-    at, names_b = pd.factorize(others["name_b"])
-    mine, names_a = pd.factorize(wanted["name_a"])
-    prices_a, prices_b = wanted["price_a"].to_numpy(), others["price_b"].to_numpy()
-    by_name = np.argsort(mine, kind="stable")
-    ends = np.searchsorted(mine[by_name], np.arange(len(names_a) + 1))
-    rows_a, rows_b = [], []
-    similar = _similar_names(list(names_a), list(names_b), rule.share)
-    for i, (positions, similarity) in enumerate(similar):
-        part = np.full(len(names_b), -np.inf)
-        part[positions] = rule.name_weight * similarity
-        able = np.flatnonzero(part[at] + rule.price_weight >= rule.threshold - _EPS)
-        part, other = part[at[able]], prices_b[able]
-        for row in by_name[ends[i] : ends[i + 1]] if len(able) else ():
-            price = prices_a[row]
-            top = np.maximum(price, other)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                close = np.where(top > 0, 1 - np.abs(price - other) / top, 1.0)
-            found = able[part + rule.price_weight * close >= rule.threshold]
-            found = found if all_pairs else found[:1]
-            rows_a.extend([row] * len(found))
-            rows_b.extend(found)
-    return rows_a, rows_b
-
-
-def _grid(
-    wanted: DataFrame,
-    others: DataFrame,
-    n_wanted: int,
-    n_others: int,
-    rule: Rule,
-    all_pairs: bool,
-) -> DataFrame:
-    """Wanted rows with a partner or, if ``all_pairs``, all pairs of rows."""
-
-    columns_a, columns_b = wanted.columns, others.columns
-
-    def decide(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows_a, rows_b = [], []
-        if len(left) and len(right):
-            rows_a, rows_b = _cell_hits(left, right, rule, all_pairs)
-        mine = left[columns_a].iloc[rows_a].reset_index(drop=True)
-        if not all_pairs:
-            return mine
-        return mine.join(right[columns_b].iloc[rows_b].reset_index(drop=True))
-
-    fields = wanted.schema.fields + (others.schema.fields if all_pairs else [])
-    return grid_match(
-        wanted, others, decide, StructType(fields), n_wanted, n_others, CELL_WANTED, CELL_OTHERS
+    carried = [c for c in asked.columns if c not in (name, "price")]
+    place = F.when(F.col("price") > 0, F.floor(F.log("price") / MERGE_WIDTH)).otherwise(-(1 << 40))
+    no_row = F.lit(None).cast(asked.select(F.struct("price", *carried)).schema[0].dataType)
+    rows = (
+        asked.select(name, "price", F.lit(None).cast("double").alias("known"), F.struct("price", *carried).alias("row"))
+        .unionByName(known.select(name, "price", F.col("price").alias("known"), no_row.alias("row")))
+        .withColumn("range", place)
+    )
+    ends = rows.groupBy(name, "range").agg(F.min("known").alias("least"), F.max("known").alias("most"))
+    ordered = Window.partitionBy(name).orderBy("range")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(name).orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(
+        name,
+        "range",
+        F.max("most").over(before).alias("lower"),
+        F.min("least").over(after).alias("higher"),
+        F.max("most").over(Window.partitionBy(name)).alias("top"),
+    )
+    here = Window.partitionBy(name, "range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A known price comes before what asks for it, either way.
+    first = F.col("known").isNull()
+    own = {
+        "own_below": F.last("known", ignorenulls=True).over(here.orderBy("price", first)),
+        "own_above": F.last("known", ignorenulls=True).over(here.orderBy(F.desc("price"), first)),
+    }
+    merged = rows.withColumns(own).where("row is not null")
+    return merged.join(ends, [name, "range"]).select(
+        name,
+        "row.*",
+        F.coalesce("own_below", "lower").alias("below"),
+        F.coalesce("own_above", "higher").alias("above"),
+        "top",
     )
 
 
-def _exact_hits(
-    open_keys: DataFrame, other_keys: DataFrame, n_open: int, n_other: int, rule: Rule
-) -> DataFrame:
+def _exact_hits(open_keys: DataFrame, other_keys: DataFrame, rule: Rule) -> DataFrame:
     """The open keys that have a partner anywhere among ``other_keys``."""
-    wanted = open_keys.select(F.col("name").alias("name_a"), F.col("price").alias("price_a"))
-    others = other_keys.select(F.col("name").alias("name_b"), F.col("price").alias("price_b"))
-    if rule.prefixes_pay:
-        found = _scored(_candidates(wanted, others, rule), rule)
-    else:
-        found = _grid(wanted, others, n_open, n_other, rule, all_pairs=False)
-    return found.select(F.col("name_a").alias("name"), F.col("price_a").alias("price")).distinct()
+    pairs = materialize(name_pairs(open_keys, other_keys, rule), "entity-names")
+    mine = open_keys.select(F.col("name").alias("name_a"), "price")
+    if not rule.price_weight:
+        return mine.join(pairs, "name_a", "left_semi").select(F.col("name_a").alias("name"), "price")
+    asked = mine.join(pairs, "name_a")
+    known = other_keys.select(F.col("name").alias("name_b"), "price")
+    tried = nearest_prices(asked, known, "name_b")
+    # Two prices of different signs are the closer the higher the positive one is.
+    close = F.greatest(*[price_similarity("price", c) for c in ("below", "above", "top")])
+    hits = tried.where(rule.score(F.col("name_similarity"), close) >= rule.threshold)
+    return hits.select(F.col("name_a").alias("name"), "price").distinct()
 
 
 def matched_keys(a: DataFrame, b: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """(side, name, price) of every distinct key with a partner on the other side."""
     keys = materialize(_keys(a, "a", rule).unionByName(_keys(b, "b", rule)), "entity-keys")
-    sizes = {r["side"]: r["count"] for r in keys.groupBy("side").count().collect()}
-    if len(sizes) < 2:
-        return keys.limit(0)
-
-    tried = _same_name_hits(keys, rule).unionByName(
-        _near_price_hits(keys, rule)
-    )
+    tried = _same_name_hits(keys, rule).unionByName(_near_price_hits(keys, rule))
     tried = materialize(
         tried.groupBy("side", "name", "price").agg(F.max("hit").alias("hit")), "entity-tried"
     )
     open_keys = tried.where(~F.col("hit")).drop("hit")
-    n_open = {r["side"]: r["count"] for r in open_keys.groupBy("side").count().collect()}
-
     found = [tried.where("hit").drop("hit")]
+    sides = {r["side"] for r in open_keys.select("side").distinct().collect()}
     for side, other in (("a", "b"), ("b", "a")):
-        if side in n_open:
+        if side in sides:
             hits = _exact_hits(
-                open_keys.where(F.col("side") == side),
-                keys.where(F.col("side") == other),
-                n_open[side],
-                sizes[other],
-                rule,
+                open_keys.where(F.col("side") == side), keys.where(F.col("side") == other), rule
             )
             found.append(hits.select(F.lit(side).alias("side"), "name", "price"))
     return reduce(DataFrame.unionByName, found)
