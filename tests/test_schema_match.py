@@ -1,12 +1,14 @@
+import random
+
 from conftest import rows
 
 from tradeweave.functions.similarity import indel_pairs
-from tradeweave.operators import column_overlap, match_columns, mediated_mapping, mediated_union, schema_match
+from tradeweave.operators import column_overlap, match_columns, mediated_mapping, mediated_union
+from tradeweave.plans.queries import ATTRIBUTES, OVERRIDES
+from tradeweave.plans.views import CATALOG_A, KEYED_B
 
-COLUMNS_A = ["nameitem", "sub_category", "image", "link", "user_ratings", "reducedprice", "actualprice"]
-COLUMNS_B = ["category", "name", "ratings", "discount_price", "actual_price", "description", "highlights", "image_links"]
-ATTRIBUTES = ["name", "category", "ratings", "discountprice", "actualprice", "imagelinks"]
-FIXED = {"discountprice": ("reducedprice", "discount_price")}
+COLUMNS_A = [c for c in CATALOG_A if c not in ("_id", "main_category")]
+COLUMNS_B = list(KEYED_B)
 
 
 def test_last_and_best_match(spark):
@@ -30,7 +32,7 @@ def test_first_column_wins_a_tie(spark):
 
 def test_mapping_and_union(spark):
     mapping = mediated_mapping(
-        match_columns(spark, COLUMNS_A, COLUMNS_B, 0.7, "last"), ATTRIBUTES, FIXED
+        match_columns(spark, COLUMNS_A, COLUMNS_B, 0.7, "last"), ATTRIBUTES, OVERRIDES
     )
     pairs = {r["attribute"]: (r["column_a"], r["column_b"]) for r in mapping.collect()}
     assert pairs["discountprice"] == ("reducedprice", "discount_price")
@@ -55,9 +57,7 @@ def test_equal_value_settles_the_column(spark):
     assert overlap(spark, ["shoe", "zzz", None, ""]) == [("note", 1.0)]
 
 
-def test_most_similar_value(spark, monkeypatch):
-    monkeypatch.setattr(schema_match, "CELL_VALUES", 2)
-    monkeypatch.setattr(schema_match, "CELL_CATEGORIES", 1)
+def test_most_similar_value(spark):
     categories = ["Bagz", "img", "hat"]
     best = max(indel_pairs([c], [v])[0] for c in categories for row in VALUES for v in row if v)
     assert overlap(spark, categories) == [("kind", best)]
@@ -68,6 +68,20 @@ def test_first_column_wins_equal_ratios(spark):
     assert overlap(spark, ["img2"], ("image", "kind"))[0][0] == "image"
 
 
+def test_best_value_equals_brute_force(spark):
+    rng = random.Random(12)
+    for size in (1, 4, 9):
+        table = [["".join(rng.choices("abcdé😀 ", k=rng.randint(0, size))) or None for _ in range(3)] for _ in range(30)]
+        categories = ["".join(rng.choices("abcdxyz", k=rng.randint(1, size + 2))) + "!" for _ in range(8)]
+        df = spark.createDataFrame(table, "p string, q string, r string")
+        scored = [
+            (indel_pairs([c], [v])[0], -at) for c in categories for row in table for at, v in enumerate(row) if v
+        ]
+        best, at = max(scored)
+        wanted = spark.createDataFrame([(c,) for c in categories], "c string")
+        assert rows(column_overlap(df, ["p", "q", "r"], wanted, "c")) == ([("pqr"[-at], best)] if best else [])
+
+
 def test_nothing_in_common(spark):
     assert overlap(spark, ["Q"]) == []
 

@@ -28,18 +28,18 @@ from tradeweave.operators.schema_match import (
     mediated_mapping,
     mediated_union,
 )
-from tradeweave.operators.similarity_join import grid_match, overlap_pairs, substring_pairs
+from tradeweave.operators.similarity_join import contained_words, overlap_pairs, substring_pairs
 
 __all__ = [
     "Rule",
     "aggregate",
     "column_overlap",
     "common_rows",
+    "contained_words",
     "drop_null_rows",
     "entity_match",
     "entity_match_pairs",
     "exclusive_rows",
-    "grid_match",
     "lookup_nested",
     "match_columns",
     "matched_keys",
