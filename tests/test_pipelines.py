@@ -24,6 +24,11 @@ def test_resolve_entities(spark):
         (1, "Boat Rockerz 255", "a"), (2, "boAt Rockerz 255 Pro", "b")
     ]
     assert [r["discount_price"] for r in rejected.collect()] == ["n/a"]
+    # Names that differ beyond the table's limit are compared whole, and not loaded.
+    long = [(stem + tail, "c", "1", "5", "5", s) for stem, tail, s in (("k" * 500, "abcdef", "a"), ("k" * 500, "abcdef", "b"))]
+    rejected = pipelines.resolve_entities(spark.createDataFrame(long[:1], RAW), spark.createDataFrame(long[1:], RAW), path)
+    assert spark.read.parquet(path).count() == 0
+    assert [[tuple(p) for p in r["problems"]] for r in rejected.collect()] == [[("name", "longer than 500")]] * 2
 
 
 def test_load_mediated(spark):

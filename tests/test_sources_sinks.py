@@ -22,10 +22,49 @@ def test_quarantine_and_defaults(spark):
     assert rows(rejected.select("name")) == [("w",), ("x",), ("y",), ("z",)]
 
 
-def test_text_is_capped(spark):
+def test_long_texts_stay_whole_and_are_not_written(spark):
     long = ("n" * 600, "c" * 200, "1", "1", "1", "s" * 60)
     row = sinks.coerce_to_contract(raw(spark, long)).first()
-    assert [len(row[c]) for c in ("name", "category", "source")] == [500, 100, 50]
+    assert [len(row[c]) for c in ("name", "category", "source")] == [600, 200, 60]
+    assert sinks.quarantine(raw(spark, long))[0].count() == 1
+    path = new_path(spark, "long")
+    left_out = sinks.append_validated(raw(spark, GOOD, long), path)
+    assert [r["name"] for r in spark.read.parquet(path).collect()] == ["Ring"]
+    assert [r["name"] for r in left_out.collect()] == ["n" * 600]
+
+
+def test_rejects_name_column_and_reason(spark):
+    rows_in = [GOOD, ("x", "c", "abc", "n/a", None, "s"), ("n" * 501, "c", "1", "1", "1", "s"), (None, None, None, "1", "1", None)]
+    report = sinks.rejects_report(raw(spark, *rows_in))
+    found = {r["name"]: [tuple(p) for p in r["problems"]] for r in report.collect()}
+    assert found == {
+        "x": [("ratings", "not a double"), ("discount_price", "not a decimal(10,2)"), ("actual_price", "missing")],
+        "n" * 501: [("name", "longer than 500")],
+    }
+
+
+def test_every_pair_of_types(spark):
+    kinds = {"d": "date", "t": "timestamp", "f": "boolean", "p": "decimal(20,2)", "i": "bigint", "x": "double", "s": "string"}
+    contract = sinks.Contract(kinds)
+    text = spark.createDataFrame(
+        [(" 2024-02-29 ", "2024-02-29 01:02:03", "true", "₹12,345,678,901,234,567.89", "9,007,199,254,740,993", "1e3", "é"),
+         ("2023-02-29", "soon", "maybe", "1.2.3", "12.7", "NaN", "")],
+        ", ".join(f"{c} string" for c in kinds),
+    )
+    good, bad = [tuple(r) for r in sinks.coerce_to_contract(text, contract).collect()]
+    assert [str(v) for v in good] == [
+        "2024-02-29", "2024-02-29 01:02:03", "True", "12345678901234567.89", "9007199254740993", "1000.0", "é"
+    ]
+    assert bad == (None, None, None, None, 12, None, "")
+    typed = sinks.coerce_to_contract(text.limit(1), contract)
+    assert rows(sinks.coerce_to_contract(typed, contract)) == rows(typed)
+    odd = text.limit(1).select(
+        F.lit(True).alias("d"), F.lit(1).alias("t"), F.lit(1.5).alias("f"), F.lit(True).alias("p"),
+        F.current_date().alias("i"), F.lit(float("inf")).alias("x"), F.lit(7).alias("s"),
+    )
+    assert rows(sinks.coerce_to_contract(odd, contract)) == [(None, None, None, None, None, None, "7")]
+    report = sinks.rejects_report(odd, contract).first()["problems"]
+    assert [p["column"] for p in report] == ["d", "t", "f", "p", "i", "x"]
 
 
 def test_contract_rejects_missing_and_unknown_columns(spark):

@@ -6,6 +6,8 @@ from tradeweave.sinks.contract import (
     check_contract,
     coerce_to_contract,
     quarantine,
+    rejects_report,
+    split_fitting,
 )
 from tradeweave.sinks.keys import with_surrogate_key
 from tradeweave.sinks.writers import (
@@ -32,6 +34,8 @@ __all__ = [
     "overwrite",
     "overwrite_many",
     "quarantine",
+    "rejects_report",
+    "split_fitting",
     "with_surrogate_key",
     "write_with_count",
 ]
