@@ -31,12 +31,14 @@ from pyspark.sql import functions as F
 from tradeweave.llm.common import stored
 
 PARAGRAPH = 80
-KEEP = 12
+KEEP = 6
 #: Three groups of cells, one for each hash; a digest's cells fit one long as bits.
-CELLS, GROUP = 48, 16
-LARGER = (2, 4)
+CELLS, GROUP = 24, 8
+LARGER = (1, 3)
 ROUNDS = 10
 DIGEST = 0xFFFFFFFF
+#: Values have 63 bits; the sign bit of a found one tells its side.
+VALUE, OTHER = (1 << 63) - 1, -(1 << 63)
 
 
 def _bits(key: Column, salt: int = 0) -> Column:
@@ -57,6 +59,11 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _once(value: Column) -> Column:
+    """``value``, kept whole by the optimizer, which would repeat a plain struct for each field read from it."""
+    return _bound(value, lambda x: x)
+
+
 def digests(text: Column) -> Column:
     """Distinct paragraph digests of a text."""
     parts = F.regexp_extract_all(text, F.lit(rf"[^.,;:!?|\n]{{1,{PARAGRAPH}}}[.,;:!?|\n]?"), F.lit(0))
@@ -79,7 +86,8 @@ def sketch(keys: Column, salt: int = 0) -> Column:
         return F.aggregate(mine, empty, lambda a, e: F.struct((a.c + 1).alias("c"), a.v.bitwiseXOR(e.v).alias("v")))
 
     # the entries are made once and not for every cell
-    return _bound(entries, lambda own: F.transform(masks, lambda m: cell(m, own)))
+    made = _bound(entries, lambda own: F.transform(masks, lambda m: cell(m, own)))
+    return F.when(F.size(keys) > 0, made).otherwise(F.array_repeat(empty, CELLS))
 
 
 def parts_of(keys: Column, level: Column) -> Column:
@@ -114,33 +122,39 @@ def parts_of(keys: Column, level: Column) -> Column:
 def peeled(a: Column, b: Column, salt: int = 0) -> Column:
     """Digests in one sketch only: ``c`` is 1 for ``a``, -1 for ``b``; null if peeling fails."""
     difference = F.zip_with(a, b, lambda x, y: F.struct((x.c - y.c).alias("c"), x.v.bitwiseXOR(y.v).alias("v")))
-    none = F.array().cast("array<struct<c:int,v:bigint,b:bigint>>")
+    none = F.array().cast("array<bigint>")
     start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(True).alias("more"))
 
     def pure(x: Column) -> Column:
         return (F.abs(x.c) == 1) & (_value(x.v.bitwiseAND(F.lit(DIGEST))) == x.v)
 
     def take(s: Column) -> Column:
-        now = F.array_distinct(
-            F.transform(F.filter(s.cells, pure), lambda x: F.struct(x.c.alias("c"), x.v.alias("v"), _bits(x.v.bitwiseAND(F.lit(DIGEST)), salt).alias("b")))
-        )
+        # a digest may be alone in several of its cells; longs are told apart by hash, structs pair by pair
+        alone = F.transform(F.filter(s.cells, pure), lambda x: F.when(x.c < 0, x.v.bitwiseOR(F.lit(OTHER))).otherwise(x.v))
+        sides = lambda n: F.when(n < 0, F.lit(-1)).otherwise(F.lit(1)).alias("c")
+        placed = lambda n: F.struct(sides(n), n.bitwiseAND(F.lit(VALUE)).alias("v"), _bits(n.bitwiseAND(F.lit(DIGEST)), salt).alias("b"))
 
         def without(x: Column, i: Column, gone: Column) -> Column:
             here = F.filter(gone, lambda p: F.call_function("shiftright", p.b, i).bitwiseAND(F.lit(1)) == 1)
             return F.aggregate(here, x, lambda y, p: F.struct((y.c - p.c).alias("c"), y.v.bitwiseXOR(p.v).alias("v")))
 
-        def after(gone: Column) -> Column:
-            cells = F.transform(s.cells, lambda x, i: without(x, i, gone))
-            made = F.struct(cells.alias("cells"), F.concat(s.found, gone).alias("found"), F.lit(True).alias("more"))
+        def update(gone: Column, touched: Column) -> Column:
+            hit = lambda i: F.call_function("shiftright", touched, i).bitwiseAND(F.lit(1)) == 1
+            return F.transform(s.cells, lambda x, i: F.when(hit(i), without(x, i, gone)).otherwise(x))
+
+        def after(now: Column, gone: Column) -> Column:
+            touched = F.aggregate(gone, F.lit(0).cast("long"), lambda t, p: t.bitwiseOR(p.b))
+            cells = _bound(touched, lambda t: update(gone, t))
+            made = F.struct(cells.alias("cells"), F.concat(s.found, now).alias("found"), F.lit(True).alias("more"))
             return F.when(F.size(gone) > 0, made).otherwise(F.struct(s.cells.alias("cells"), s.found.alias("found"), F.lit(False).alias("more")))
 
-        return _bound(now, after)
+        return _bound(F.array_distinct(alone), lambda now: _bound(F.transform(now, placed), lambda gone: after(now, gone)))
 
     def step(s: Column, _: Column) -> Column:
         return F.when(s.more, take(s)).otherwise(s)
 
     def finish(s: Column) -> Column:
-        return F.when(~F.exists(s.cells, lambda x: (x.c != 0) | (x.v != 0)), F.transform(s.found, lambda x: F.struct(x.c.alias("c"), x.v.bitwiseAND(F.lit(DIGEST)).alias("k"))))
+        return F.when(~F.exists(s.cells, lambda x: (x.c != 0) | (x.v != 0)), F.transform(s.found, lambda n: F.struct(F.when(n < 0, F.lit(-1)).otherwise(F.lit(1)).alias("c"), n.bitwiseAND(F.lit(DIGEST)).alias("k"))))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, finish)
 
@@ -161,7 +175,9 @@ def differing(a: Column, b: Column) -> Column:
             lambda p: peeled(sketch(deal(a["keys"], p), salt), sketch(deal(b["keys"], p), salt), salt),  # noqa: B023
         )
         tries.append(_bound(parts, lambda made: F.when(~F.exists(made, F.isnull), F.flatten(made))))
-    return F.coalesce(*tries, _exact(a["keys"], b["keys"]))
+    # equal cells subtract to nothing, so there is nothing to peel
+    none = F.array().cast("array<struct<c:int,k:bigint>>")
+    return F.when(a.cells == b.cells, none).otherwise(F.coalesce(*tries, _exact(a["keys"], b["keys"])))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -193,8 +209,9 @@ def fingerprint(s: Column) -> Column:
     return F.concat(F.lpad(F.hex(F.size(s["keys"])), 8, "0"), F.array_join(cells, ""))
 
 
-def with_parts(keys: Column) -> Column:
-    level = level_of(keys)
+def with_parts(keys: Column, *partners: Column) -> Column:
+    """The sketch of a set, at the level of the largest of it and its partners."""
+    level = F.greatest(*[level_of(k) for k in (keys, *partners)]) if partners else level_of(keys)
     return F.struct(level.alias("level"), keys.alias("keys"), parts_of(keys, level).alias("parts"))
 
 
@@ -245,9 +262,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.col("doc").alias("doc_id"),
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(edited, 256).alias("edited_sha256"),
-        F.struct(digests(F.col("text")).alias("own"), digests(edited).alias("edit"), "other").alias("s"),
+        _once(F.struct(digests(F.col("text")).alias("own"), digests(edited).alias("edit"), "other")).alias("s"),
     )
-    built = made.withColumns({"a": with_parts(F.col("s.own")), "b": with_parts(F.col("s.edit")), "d": with_parts(F.col("s.other"))})
+    sets = {"a": with_parts(F.col("s.own")), "b": with_parts(F.col("s.edit")), "d": with_parts(F.col("s.other"), F.col("s.own"))}
+    built = made.withColumns({name: _once(s) for name, s in sets.items()})
     return built.select(
         "doc_id",
         "n_chars",
