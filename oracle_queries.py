@@ -278,9 +278,10 @@ ORACLE: dict[str, str] = {
     # sinks
     "sink_overwrite": _q("SELECT * FROM mediated_a"),
     "sink_overwrite_many": _q(
-        f"""SELECT 'common' AS output, count(*) AS n_rows, count(email) AS n_emails FROM ({_COMMON})
-           UNION ALL SELECT 'only_profiles', count(*), count(email) FROM ({_ONLY_PROFILES})
-           UNION ALL SELECT 'only_sales', count(*), count(email) FROM ({_ONLY_SALES})"""
+        f"""SELECT 'common' AS output, p.*, s.* EXCLUDE (_id, email)
+           FROM profiles p JOIN partnerships s ON p.email = s.email
+           UNION ALL BY NAME SELECT 'only_profiles' AS output, * FROM ({_ONLY_PROFILES})
+           UNION ALL BY NAME SELECT 'only_sales' AS output, * FROM ({_ONLY_SALES})"""
     ),
     "sink_append": _q("SELECT * FROM mediated_a UNION ALL SELECT * FROM mediated_b"),
     "sink_append_new_only": _q(
@@ -348,10 +349,9 @@ ORACLE: dict[str, str] = {
     ),
     # joins
     "lookup_nested": _q(
-        """SELECT user_name, 0 AS chunk, CAST(count(s._id) AS INTEGER) AS n_matched,
-           coalesce(string_agg(s._id || ':' || product, ',' ORDER BY s._id), '') AS matched
-           FROM profiles p LEFT JOIN partnerships s ON p.email IS NOT DISTINCT FROM s.email
-           GROUP BY p._id, user_name"""
+        """SELECT p._id AS profile_id, user_name, CAST(coalesce(s._id % 64, 0) AS INTEGER) AS chunk,
+           CAST(count(s._id) OVER (PARTITION BY p._id, s._id % 64) AS INTEGER) AS n_matched, s.*
+           FROM profiles p LEFT JOIN partnerships s ON p.email = s.email"""
     ),
     "common_profiles": _q(f"SELECT * EXCLUDE (sale_id, profile_id) FROM ({_COMMON})"),
     "exclusive_profiles": _q(
@@ -492,28 +492,37 @@ ORACLE: dict[str, str] = {
            FROM catalog_b)"""
     ),
     "pipeline_influencer_overlap": _q(
-        f"""SELECT 'common' AS output, profile_id AS _id, email FROM ({_COMMON})
-           UNION ALL SELECT 'only_profiles', _id, email FROM ({_ONLY_PROFILES})
-           UNION ALL SELECT 'only_sales', _id, email FROM ({_ONLY_SALES})
-           UNION ALL (SELECT 'most_followed', _id, email FROM profiles
+        f"""SELECT 'common' AS output, p.*, s.* EXCLUDE (_id, email)
+           FROM profiles p JOIN partnerships s ON p.email = s.email
+           UNION ALL BY NAME SELECT 'only_profiles' AS output, * FROM ({_ONLY_PROFILES})
+           UNION ALL BY NAME SELECT 'only_sales' AS output, * FROM ({_ONLY_SALES})
+           UNION ALL BY NAME (SELECT 'most_followed' AS output, * FROM profiles
              ORDER BY followers DESC, _id LIMIT 1)
-           UNION ALL (SELECT 'top_a_profit', _id, email FROM partnerships
+           UNION ALL BY NAME (SELECT 'top_a_profit' AS output, * FROM partnerships
              ORDER BY profit_in_a_percent DESC, _id LIMIT 1)
-           UNION ALL (SELECT 'top_b_profit', _id, email FROM partnerships
+           UNION ALL BY NAME (SELECT 'top_b_profit' AS output, * FROM partnerships
              ORDER BY profit_in_b_percent DESC, _id LIMIT 1)"""
     ),
     "pipeline_partner_products": _q(_PARTNERS),
     "pipeline_refresh_catalog": _SNAPSHOT.replace("'driver'", "'refreshed'"),
     "metadata_json_sink": _q(
-        """SELECT 'described_' || s AS source, t AS "table", CAST(i AS INTEGER) AS ordinal, c AS "column" FROM (
+        """SELECT 'described_' || s AS source, t AS "table", CAST(i AS INTEGER) AS ordinal, c AS "column",
+           lower(CASE k WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE k END) AS "type" FROM (
            SELECT 'shop_a' AS s, 'items' AS t, unnest(range(1, 10)) AS i, unnest(['_id', 'nameitem',
-             'main_category', 'sub_category', 'image', 'link', 'user_ratings', 'reducedprice', 'actualprice']) AS c
+             'main_category', 'sub_category', 'image', 'link', 'user_ratings', 'reducedprice', 'actualprice']) AS c,
+             unnest([typeof(_id), typeof(nameitem), typeof(main_category), typeof(sub_category), typeof(image),
+             typeof(link), typeof(user_ratings), typeof(reducedprice), typeof(actualprice)]) AS k
+             FROM (SELECT * FROM catalog_a LIMIT 1)
            UNION ALL
            SELECT 'shop_b', 'products', unnest(range(1, 11)), unnest(['category', 'name', 'ratings',
-             'discount_price', 'actual_price', 'seller_name', 'seller_rating', 'description', 'highlights', 'image_links'])
+             'discount_price', 'actual_price', 'seller_name', 'seller_rating', 'description', 'highlights', 'image_links']),
+             unnest([typeof(category), typeof(name), typeof(ratings), typeof(discount_price), typeof(actual_price),
+             typeof(seller_name), typeof(seller_rating), typeof(description), typeof(highlights), typeof(image_links)])
+             FROM (SELECT * FROM catalog_b LIMIT 1)
            UNION ALL
            SELECT 'social', 'profiles', unnest(range(1, 7)), unnest(['_id', 'user_name', 'email', 'followers',
-             'posts', 'business_type']))"""
+             'posts', 'business_type']), unnest([typeof(_id), typeof(user_name), typeof(email), typeof(followers),
+             typeof(posts), typeof(business_type)]) FROM (SELECT * FROM profiles LIMIT 1))"""
     ),
     "image_link_match": _q(
         """SELECT DISTINCT nameitem AS name, image AS link FROM catalog_a WHERE EXISTS (

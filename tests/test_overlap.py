@@ -1,4 +1,5 @@
 from conftest import plan_of, rows
+from pyspark.sql import functions as F
 
 from tradeweave.operators import (
     common_rows,
@@ -38,10 +39,10 @@ def test_null_keys_match_nothing(spark):
 
 
 def test_lookup_nests_matches(spark):
-    nested = lookup_nested(profiles(spark), sales(spark), null_safe=True).orderBy("_id").collect()
+    nested = lookup_nested(profiles(spark), sales(spark), null_safe=True, chunks=1).orderBy("_id").collect()
     assert [len(r["matched"]) for r in nested] == [2, 1, 0, 0]
     assert {m["product"] for m in nested[0]["matched"]} == {"p", "q"}
-    assert lookup_nested(profiles(spark), sales(spark)).where("size(matched) > 0").count() == 1
+    assert lookup_nested(profiles(spark), sales(spark), chunks=1).where("size(matched) > 0").count() == 1
 
 
 def test_lookup_splits_a_frequent_key(spark):
@@ -73,7 +74,7 @@ def test_top_rows_break_ties_by_id(spark):
 def test_lookup_does_not_depend_on_match_counts(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "_id int, email string")
     right = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 7)] * 3, "email string, v int")
-    once = lookup_nested(left, right).orderBy("_id").collect()
+    once = lookup_nested(left, right, chunks=1).orderBy("_id").collect()
     assert [(r["_id"], r["chunk"], len(r["matched"])) for r in once] == [(1, 0, 50), (2, 0, 0), (3, 0, 0)]
     spread = lookup_nested(left, right, chunks=5).where("_id = 1").collect()
     assert sorted(m["v"] for r in spread for m in r["matched"]) == list(range(50)) and len(spread) == 5
@@ -83,3 +84,15 @@ def test_null_keys_on_both_sides_are_not_paired(spark):
     left = spark.createDataFrame([(None, i) for i in range(200)], "email string, v int")
     right = spark.createDataFrame([(None, i) for i in range(200)], "email string, w int")
     assert common_rows(left, right).count() == 0
+
+
+def test_a_hot_key_is_nested_in_bounded_arrays(spark):
+    # one e-mail holds a third of all rows and is dealt evenly by the row's number
+    left = spark.createDataFrame([("hot",), ("k1",)], "email string")
+    right = spark.range(6400).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS email", "id AS v")
+    nested = lookup_nested(left, right, deal=F.col("v")).where("email = 'hot'").collect()
+    assert len(nested) == 64 and max(len(r["matched"]) for r in nested) <= 35
+    assert sorted(m["v"] for r in nested for m in r["matched"]) == list(range(0, 6400, 3))
+    hashed = lookup_nested(left, right).where("email = 'hot'").collect()
+    assert max(len(r["matched"]) for r in hashed) < 80
+    assert sorted(m["v"] for r in hashed for m in r["matched"]) == list(range(0, 6400, 3))

@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from tradeweave import sinks, sources
+from tradeweave import sinks, sources, workspace
+from tradeweave.plans.queries import QUERIES
 from tradeweave.workspace import new_path
 
 RAW = "name string, category string, ratings string, discount_price string, actual_price string, source string"
@@ -180,3 +183,81 @@ def test_surrogate_key_moves_no_row_again(spark):
     assert [r["id"] for r in keyed.orderBy("v").collect()] == list(range(1, 1001))
     plan = plan_of(keyed)
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_bucketed_load_adds_new_rows_only(spark):
+    path = new_path(spark, "bucketed")
+    first = spark.createDataFrame([("b", None), ("a", 1), ("a", 1)], "name string, n int")
+    sinks.append_new_bucketed(first, "bucketed_load", path, buckets=4)
+    spark.sql("DROP TABLE bucketed_load")  # an external table is taken up again from its files
+    more = first.union(spark.createDataFrame([(None, 2), (None, 2)], first.schema))
+    sinks.append_new_bucketed(more, "bucketed_load", path, buckets=4)
+    sinks.append_new_bucketed(more.limit(0), "bucketed_load", path, buckets=4)
+    assert rows(spark.table("bucketed_load").drop(sinks.ROW)) == [(1, "a", 1), (2, "b", None), (3, None, 2)]
+    with pytest.raises(ValueError):
+        sinks.append_new_bucketed(first.withColumnRenamed("n", sinks.ROW), "bucketed_load", path)
+    spark.sql("DROP TABLE bucketed_load")
+
+
+def test_bucketed_load_does_not_shuffle_what_is_stored(spark):
+    path = new_path(spark, "unmoved")
+    df = spark.range(500).selectExpr("concat('n', id) AS name", "id % 7 AS n")
+    sinks.append_new_bucketed(df, "unmoved_load", path, buckets=8)
+    found = sinks.rows_not_in(df.union(spark.createDataFrame([("new", 1)], "name string, n long")), spark.table("unmoved_load"))
+    assert found.collect() == [("new", 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    known = plan[plan.index("LeftAnti"):]
+    lines = known.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "unmoved_load" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    above, level = [], depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < level:
+            above.append(line)
+            level = depth(line)
+    assert "Bucketed: true" in lines[scan] and not any("Exchange" in line or "Shuffle" in line for line in above)
+    spark.sql("DROP TABLE unmoved_load")
+
+
+def test_branches_equal_the_union_of_their_parts(spark):
+    whole = spark.createDataFrame(
+        [(1, "a", 5), (2, "b", 6), (3, None, 7), (4, "c", 8), (5, "ab", 9)], "id int, kind string, v int"
+    )
+    has = lambda x: F.col("kind").contains(x)
+    branches = {"a": sources.Branch(has("a")), "b": sources.Branch(has("b"), {"v": "w"}), "b`s": sources.Branch(has("z"))}
+    parts = {"a": whole.where(has("a")), "b": whole.where(has("b")).withColumnRenamed("v", "w"), "b`s": whole.where(has("z"))}
+    for renames in ({}, {"b": {"w": "v"}}):
+        view = sources.branch_view(whole, branches, renames, ["kind"])
+        assert rows(view.drop("branch")) == rows(sources.combined_view(parts, renames, ["kind"]))
+        assert rows(view.select("id", "branch")) == [(1, "a"), (2, "b"), (5, "a"), (5, "b")]
+    assert sources.branch_view(whole.limit(0), branches).count() == 0
+
+
+def test_a_scope_removes_what_was_written_inside(spark):
+    kept = new_path(spark, "kept")
+    with workspace.scope(spark):
+        made = new_path(spark, "made")
+        df = workspace.materialize(spark.range(5).toDF("x"), "scoped")
+        with workspace.scope(spark):
+            inner = new_path(spark, "inner")
+            df.write.parquet(inner)
+        assert not os.path.exists(inner)
+        df.write.parquet(kept)
+        scoped = df.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(scoped)
+    assert not os.path.exists(made) and not os.path.exists(scoped)
+    assert spark.read.parquet(kept).count() == 5
+    with pytest.raises(RuntimeError), workspace.scope(spark):
+        spark.range(1).write.parquet(path := new_path(spark, "failed"))
+        raise RuntimeError
+    assert not os.path.exists(path)
+
+
+def test_an_empty_or_absent_path_can_be_removed(spark):
+    workspace.remove(spark, new_path(spark, "never-written"))
+
+
+def test_views_scan_their_table_once(spark):
+    for name in ("global_view", "combined_view"):
+        plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert plan.count("FileScan parquet") == 1 and "Union" not in plan, name

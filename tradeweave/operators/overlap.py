@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from tradeweave.workspace import materialize
 
+#: Chunks the matches of one key are dealt to.
+CHUNKS = 64
+
 
 def _same(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> Column:
     return left[key].eqNullSafe(right[key]) if null_safe else left[key] == right[key]
@@ -74,23 +77,30 @@ def lookup_nested(
     key: str = "email",
     name: str = "matched",
     null_safe: bool = False,
-    chunks: int = 1,
+    chunks: int = CHUNKS,
+    deal: Column | None = None,
 ) -> DataFrame:
     """Left rows with their matching right rows nested as an array.
 
     The result has one row for each left row and chunk that holds matches of
     it; a left row without a match has one row, chunk 0, with an empty array.
-    Matches are dealt to ``chunks`` chunks by a hash of the right row, copies of
-    a row to consecutive chunks, whatever their number: give more chunks where
-    a key may have more matches than one array should hold.
+    Matches are dealt to ``chunks`` chunks by ``deal``, a whole number made from
+    the right row (a hash of all of it if none is given), copies of a row to
+    consecutive chunks, whatever their number: give more chunks where a key may
+    have more matches than that many arrays should hold.
+
+    Copies are counted first, with partial aggregation, and arrays are collected
+    by key and chunk, so a frequent key is spread over ``chunks`` groups.
     """
     if not null_safe:
         right = right.where(F.col(key).isNotNull())
     copies = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("__n"))
     steps = F.sequence(F.lit(0), F.least(F.col("__n"), F.lit(chunks)).cast("int") - 1)
+    # reduced before the step is added: the sum of two longs may not fit one
+    first = F.pmod(F.xxhash64(*right.columns) if deal is None else deal, F.lit(chunks))
     dealt = copies.withColumn("__step", F.explode(steps)).select(
         F.col(key).alias("__key"),
-        F.pmod(F.xxhash64(*right.columns) + F.col("__step"), F.lit(chunks)).cast("int").alias("chunk"),
+        F.pmod(first + F.col("__step"), F.lit(chunks)).cast("int").alias("chunk"),
         F.array_repeat(
             F.struct(*right.columns), F.ceil((F.col("__n") - F.col("__step")) / chunks).cast("int")
         ).alias("__rows"),

@@ -94,21 +94,20 @@ def scan_id_as_string(spark, sf):
 
 @query
 def global_view(spark, sf):
-    return sources.global_view(v.tables_b(spark, sf))
+    return sources.branch_view(v.catalog_b(spark, sf), v.branches_b()).drop("branch")
 
 
 @query
 def global_view_keyed(spark, sf):
-    return sources.global_view_keyed(
-        v.tables_b(spark, sf), v.KEYED_B, ["category", "name", "image_links"]
-    )
+    view = sources.branch_view(v.catalog_b(spark, sf), v.branches_b())
+    return sources.number_rows(view, v.KEYED_B, ["category", "name", "image_links"])
 
 
 @query
 def combined_view(spark, sf):
-    return sources.combined_view(
-        v.collections_a(spark, sf), {v.DRIFTED.lower(): {"nameitems": "nameitem"}}, ["main_category"]
-    )
+    drifted = {v.DRIFTED.lower(): {"nameitems": "nameitem"}}
+    view = sources.branch_view(v.catalog_a(spark, sf), v.branches_a(), drifted, ["main_category"])
+    return view.drop("branch")
 
 
 RAW_ITEM = T.StructType(
@@ -174,15 +173,11 @@ def sink_overwrite(spark, sf):
 def sink_overwrite_many(spark, sf):
     parts = op.overlap_split(v.profiles(spark, sf), v.partnerships(spark, sf))
     paths = sinks.overwrite_many(parts, new_path(spark, "overlap"))
-    loaded = [
-        spark.read.parquet(p).select(F.lit(kind).alias("output"), "email")
+    loaded = {
+        kind: spark.read.parquet(p).select(F.lit(kind).alias("output"), "*")
         for kind, p in paths.items()
-    ]
-    return (
-        sources.global_view(loaded)
-        .groupBy("output")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.count("email").alias("n_emails"))
-    )
+    }
+    return sources.combined_view(loaded, {})
 
 
 @query
@@ -384,16 +379,16 @@ def quarantine_bad_price(spark, sf):
 
 @query
 def lookup_nested(spark, sf):
-    nested = op.lookup_nested(v.profiles(spark, sf), v.partnerships(spark, sf))
-    rendered = F.transform(
-        F.sort_array("matched"), lambda m: F.concat_ws(":", m["_id"].cast("string"), m["product"])
-    )
-    return nested.select(
+    """Nested by chunks of the partnership's id, then every nested row in full."""
+    nested = op.lookup_nested(v.profiles(spark, sf), v.partnerships(spark, sf), deal=F.col("_id"))
+    nested = nested.select(
+        F.col("_id").alias("profile_id"),
         "user_name",
         "chunk",
         F.size("matched").alias("n_matched"),
-        F.array_join(rendered, ",").alias("matched"),
+        F.explode_outer("matched").alias("match"),
     )
+    return nested.select("profile_id", "user_name", "chunk", "n_matched", "match.*")
 
 
 COMMON = (
@@ -745,12 +740,14 @@ def pipeline_resolve_entities(spark, sf):
 @query
 def pipeline_load_mediated(spark, sf):
     path = new_path(spark, "loaded")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
     a, b = combined_view(spark, sf), global_view_keyed(spark, sf)
     for _ in range(2):  # the second load finds nothing new
         pipelines.load_mediated(
-            a, b, path, ATTRIBUTES, OVERRIDES, ("catalog_a", "catalog_b"), COLUMN_THRESHOLD, LOADED
+            a, b, path, ATTRIBUTES, OVERRIDES, ("catalog_a", "catalog_b"), COLUMN_THRESHOLD, LOADED, name
         )
-    return spark.read.parquet(path)
+    spark.sql(f"DROP TABLE {name}")  # of the catalog; the files stay
+    return spark.read.parquet(path).drop(sinks.ROW)
 
 
 @query
@@ -759,13 +756,12 @@ def pipeline_influencer_overlap(spark, sf):
         v.profiles(spark, sf), v.partnerships(spark, sf), new_path(spark, "influencers"), BEST_OF
     )
     loaded = {kind: spark.read.parquet(path) for kind, path in paths.items()}
-    best = loaded.pop("best_of").select(
-        F.col("type").alias("output"),
-        F.get_json_object("data", "$._id").try_cast("long").alias("_id"),
-        F.get_json_object("data", "$.email").alias("email"),
-    )
-    rows = [df.select(F.lit(kind).alias("output"), "_id", "email") for kind, df in loaded.items()]
-    return sources.global_view([*rows, best])
+    fields = {f.name: f.dataType for name in ("only_profiles", "only_sales") for f in loaded[name].schema}
+    document = T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+    best = loaded.pop("best_of").select("type", F.from_json("data", document).alias("row"))
+    views = {kind: df.select(F.lit(kind).alias("output"), "*") for kind, df in loaded.items()}
+    views["best_of"] = best.select(F.col("type").alias("output"), "row.*")
+    return sources.combined_view(views, {})
 
 
 @query
@@ -792,7 +788,7 @@ def metadata_json_sink(spark, sf):
     names = [f"described_{source}" for source in v.sql_views(sf)]
     sources.write_catalog_snapshot(sources.catalog_snapshot(spark, names), path)
     found = sources.read_catalog_snapshot(spark, path)
-    return found.select("source", "table", "ordinal", "column")
+    return found.select("source", "table", "ordinal", "column", "type")
 
 
 @query

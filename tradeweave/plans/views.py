@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.operators import select_mapped
 from tradeweave.sinks import quarantine
+from tradeweave.sources import Branch
 
 # part.p_type values with a product table of their own; the rest, null included, shares one.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -141,6 +142,21 @@ def tables_b(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [*listed, products.where(_unlisted("category"))]
 
 
+def branches_a() -> dict[str, Branch]:
+    """The collections of catalog A as branches of the whole catalog."""
+    names = {c: F.col("main_category") == c for c in CATEGORIES}
+    branches = {c.lower(): Branch(where) for c, where in names.items()}
+    branches["other"] = Branch(_unlisted("main_category"))
+    branches[DRIFTED.lower()] = Branch(names[DRIFTED], {"nameitem": "nameitems"})
+    return branches
+
+
+def branches_b() -> dict[str, Branch]:
+    """The tables of catalog B as branches of the whole catalog."""
+    listed = {c.lower(): Branch(F.col("category") == c) for c in CATEGORIES}
+    return {**listed, "other": Branch(_unlisted("category"))}
+
+
 def documents_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog A as JSON documents in column ``doc``; a null field is absent."""
     items = catalog_a(spark, sf_dir)

@@ -1,3 +1,4 @@
+from tradeweave.sinks.bucketed import ROW, append_new_bucketed, rows_not_in
 from tradeweave.sinks.contract import (
     MEDIATED,
     Contract,
@@ -24,7 +25,9 @@ __all__ = [
     "MEDIATED",
     "Contract",
     "ContractError",
+    "ROW",
     "append",
+    "append_new_bucketed",
     "append_new_keyed",
     "append_new_only",
     "append_validated",
@@ -35,6 +38,7 @@ __all__ = [
     "overwrite_many",
     "quarantine",
     "rejects_report",
+    "rows_not_in",
     "split_fitting",
     "with_surrogate_key",
     "write_with_count",

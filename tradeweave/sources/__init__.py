@@ -7,6 +7,8 @@ from tradeweave.sources.catalog import (
     write_catalog_snapshot,
 )
 from tradeweave.sources.readers import (
+    Branch,
+    branch_view,
     combined_view,
     drop_id,
     global_view,
@@ -14,12 +16,15 @@ from tradeweave.sources.readers import (
     id_as_string,
     ingest_csv,
     ingest_json,
+    number_rows,
     read_documents,
     read_jdbc,
     read_relational,
 )
 
 __all__ = [
+    "Branch",
+    "branch_view",
     "catalog_snapshot",
     "combined_view",
     "discover_fields",
@@ -30,6 +35,7 @@ __all__ = [
     "id_as_string",
     "ingest_csv",
     "ingest_json",
+    "number_rows",
     "read_catalog_snapshot",
     "read_documents",
     "read_jdbc",

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -78,8 +79,7 @@ def global_view_keyed(
     key: str = "primary_key",
 ) -> DataFrame:
     """The global view cut to ``columns`` and numbered by the total order ``order_by``."""
-    narrow = global_view(tables).select(*dict.fromkeys([*columns, *order_by]))
-    return with_surrogate_key(narrow, order_by, key).select(key, *columns)
+    return number_rows(global_view(tables), columns, order_by, key)
 
 
 def combined_view(
@@ -99,6 +99,68 @@ def combined_view(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 
 
+@dataclass(frozen=True)
+class Branch:
+    """A table or collection that is kept inside a larger source.
+
+    ``where`` tells its rows; where that is null a row is not in it.
+    ``renames`` maps source columns to the names this branch gives them.
+    """
+
+    where: Column
+    renames: Mapping[str, str] = field(default_factory=dict)
+
+
+def branch_view(
+    source: DataFrame,
+    branches: Mapping[str, Branch],
+    renames: Mapping[str, Mapping[str, str]] | None = None,
+    drop: Sequence[str] = (),
+    tag: str = "branch",
+) -> DataFrame:
+    """One view over branches of one source, read in one pass.
+
+    Equals ``combined_view`` over the branches taken one by one, with the name
+    of the branch in column ``tag``: a row that lies in several is there once for each,
+    a row in none is left out, ``renames[branch]`` brings drifted names back, and a
+    column some branch lacks is null there.  Each row is tagged with its
+    branches, so the source is scanned once however many there are, and a
+    column that is not asked for is not read.
+    """
+    renames = renames or {}
+    named = {
+        name: {
+            renames.get(name, {}).get(own, own): column
+            for column, own in ((c, branch.renames.get(c, c)) for c in source.columns)
+        }
+        for name, branch in branches.items()
+    }
+    wanted = [c for c in dict.fromkeys(c for names in named.values() for c in names) if c not in drop]
+    inside = F.array_compact(F.array(*[F.when(b.where, F.lit(name)) for name, b in branches.items()]))
+    tagged = source.withColumn("__branch", F.explode(inside))
+
+    def column(name: str) -> Column:
+        origins = {branch: columns.get(name) for branch, columns in named.items()}
+        if len(set(origins.values())) == 1:
+            return F.col(f"`{next(iter(origins.values()))}`").alias(name)
+        found = [
+            F.when(F.col("__branch") == branch, F.col(f"`{origin}`"))
+            for branch, origin in origins.items()
+            if origin is not None
+        ]
+        return F.coalesce(*found).alias(name)
+
+    return tagged.select(F.col("__branch").alias(tag), *[column(c) for c in wanted])
+
+
+def number_rows(
+    view: DataFrame, columns: Sequence[str], order_by: Sequence[str], key: str = "primary_key"
+) -> DataFrame:
+    """A view cut to ``columns`` and numbered by the total order ``order_by``."""
+    narrow = view.select(*dict.fromkeys([*columns, *order_by]))
+    return with_surrogate_key(narrow, order_by, key).select(key, *columns)
+
+
 def _clean(df: DataFrame, text: Sequence[str], prices: Sequence[str]) -> DataFrame:
     """Trim text, blank to null, price text to numbers."""
     tidy = {c: F.nullif(F.trim(c), F.lit("")) for c in text}
