@@ -43,9 +43,15 @@ VALUE, OTHER = (1 << 63) - 1, -(1 << 63)
 
 def _bits(key: Column, salt: int = 0) -> Column:
     """The three cells of a digest as bits of a long; each ``salt`` gives other cells."""
-    place = lambda j: F.xxhash64(key, F.lit(j), F.lit(salt)) if salt else F.xxhash64(key, F.lit(j))
-    bit = lambda j: F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(j * GROUP) + F.pmod(place(j), F.lit(GROUP))).cast("int"))
-    return bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
+    hashed = F.xxhash64(key, F.lit(salt))
+
+    def bits(h: Column) -> Column:
+        # nine bits of one hash are three places of eight
+        place = lambda j: F.call_function("shiftright", h, F.lit(3 * j)).bitwiseAND(F.lit(GROUP - 1)).cast("int")
+        bit = lambda j: F.call_function("shiftleft", F.lit(1 << (j * GROUP)).cast("long"), place(j))
+        return bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
+
+    return _bound(hashed, bits)
 
 
 def _value(key: Column) -> Column:
@@ -66,7 +72,7 @@ def _once(value: Column) -> Column:
 
 def digests(text: Column) -> Column:
     """Distinct paragraph digests of a text."""
-    parts = F.regexp_extract_all(text, F.lit(rf"[^.,;:!?|\n]{{1,{PARAGRAPH}}}[.,;:!?|\n]?"), F.lit(0))
+    parts = F.regexp_extract_all(text, F.lit(rf"[^.,;:!?|\n]{{1,{PARAGRAPH}}}+[.,;:!?|\n]?+"), F.lit(0))
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p).bitwiseAND(F.lit(DIGEST))))
 
 
@@ -85,8 +91,13 @@ def sketch(keys: Column, salt: int = 0) -> Column:
         mine = F.filter(own, lambda e: e.b.bitwiseAND(mask) != 0)
         return F.aggregate(mine, empty, lambda a, e: F.struct((a.c + 1).alias("c"), a.v.bitwiseXOR(e.v).alias("v")))
 
+    def cells(own: Column) -> Column:
+        # half of the cells stay empty: one mask of the others saves them the search
+        used = F.aggregate(own, F.lit(0).cast("long"), lambda u, e: u.bitwiseOR(e.b))
+        return _bound(used, lambda u: F.transform(masks, lambda m: F.when(u.bitwiseAND(m) != 0, cell(m, own)).otherwise(empty)))
+
     # the entries are made once and not for every cell
-    made = _bound(entries, lambda own: F.transform(masks, lambda m: cell(m, own)))
+    made = _bound(entries, cells)
     return F.when(F.size(keys) > 0, made).otherwise(F.array_repeat(empty, CELLS))
 
 
