@@ -358,3 +358,26 @@ def test_jaccard_of_small_sets_and_larger_partners(spark):
 @pytest.mark.parametrize("name", sorted(llm_queries.ORACLE))
 def test_sql_twins(spark, name):
     assert compare(llm_queries.QUERIES[name](spark, SF), oracle_connection(SF), llm_queries.ORACLE[name]) is None
+
+
+def test_fingerprint_parts(spark):
+    """Peeling gives the difference or fails; sets beyond the limit of a sketch are compared exactly."""
+    rng = random.Random(5)
+    sets = []
+    for _ in range(400):
+        both = rng.sample(range(1 << 32), rng.randrange(6))
+        sets.append((both + rng.sample(range(1 << 32), rng.randrange(9)), both + rng.sample(range(1 << 32), rng.randrange(9))))
+    sets.append((list(range(fingerprint.MOST + 40)), list(range(5, fingerprint.MOST + 90))))
+    sets.append(([0], [1 << 27]))
+    part = lambda c: F.struct(F.col(c).alias("keys"), fingerprint.sketch(F.col(c)).alias("cells"))
+    rows = spark.createDataFrame(sets, "x array<long>, y array<long>").select("x", "y", part("x").alias("a"), part("y").alias("b"))
+    side = lambda e: ("b" if e < 0 else "a", e & fingerprint.DIGEST)
+    peeled = 0
+    for r in rows.select("x", "y", fingerprint.peeled(F.col("a.cells"), F.col("b.cells")).alias("p"), fingerprint.differing(F.col("a"), F.col("b")).alias("d")).collect():
+        x, y = set(r.x), set(r.y)
+        expected = sorted([("a", k) for k in x - y] + [("b", k) for k in y - x])
+        assert sorted(map(side, r.d)) == expected
+        if r.p is not None:
+            peeled += 1
+            assert sorted(map(side, r.p)) == expected
+    assert peeled > 300

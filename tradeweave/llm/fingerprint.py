@@ -4,7 +4,7 @@ A text is a set of paragraphs: stretches cut at punctuation and line breaks, at
 most ``PARAGRAPH`` characters long. Each is a 32-bit digest, and every digest
 is in the sketch: the set is dealt by a hash over ``2 ** level`` parts of about
 ``KEEP`` digests. In its part a digest goes into three of ``CELLS`` cells,
-which hold a count and the XOR of (check, digest). Two sketches of one level
+which hold a count and the sum of (check, digest) in one long. Two sketches of one level
 subtract cell by cell; peeling takes out cells with one digest until none is
 left, which recovers the digests that differ. A part where that fails is made
 again, dealt over ``2 ** k`` sketches with other cells; where all fail, the
@@ -32,32 +32,32 @@ from tradeweave.llm.common import stored
 
 PARAGRAPH = 80
 KEEP = 6
-#: Three groups of cells, one for each hash; a digest's cells fit one long as bits.
+#: Three groups of cells, one for each hash.
 CELLS, GROUP = 24, 8
 LARGER = (1, 3)
 ROUNDS = 10
 DIGEST = 0xFFFFFFFF
-#: Values have 63 bits; the sign bit of a found one tells its side.
+#: An entry is one long: a count of one, 16 check bits, the digest. 64 of them add up
+#: without a carry into the count, and all that peeling subtracts stays within 63 bits.
+COUNT, MOST = 54, 64
+#: The sign bit of a found entry tells its side.
 VALUE, OTHER = (1 << 63) - 1, -(1 << 63)
 
 
-def _bits(key: Column, salt: int = 0) -> Column:
-    """The three cells of a digest as bits of a long; each ``salt`` gives other cells."""
-    hashed = F.xxhash64(key, F.lit(salt))
+def _entry(key: Column) -> Column:
+    """What a digest adds to its cells."""
+    check = F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit(0xFFFF))
+    return F.shiftleft(check, 32).bitwiseOR(key).bitwiseOR(F.lit(1 << COUNT))
 
-    def bits(h: Column) -> Column:
-        # nine bits of one hash are three places of eight
-        place = lambda j: F.call_function("shiftright", h, F.lit(3 * j)).bitwiseAND(F.lit(GROUP - 1)).cast("int")
-        bit = lambda j: F.call_function("shiftleft", F.lit(1 << (j * GROUP)).cast("long"), place(j))
-        return bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
 
-    return _bound(hashed, bits)
+def _group(j: int, salt: int) -> tuple[Column, Column]:
+    """The bits of a digest that place it in group ``j``, and their value for each cell.
 
-
-def _value(key: Column) -> Column:
-    """Check bits above the digest."""
-    check = F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit(0x7FFFFFFF))
-    return F.shiftleft(check, 32).bitwiseOR(key)
+    Each ``salt`` takes nine other bits, so digests that share their cells part.
+    """
+    shift = 9 * salt + 3 * j
+    places = ", ".join(f"{p << shift}L" for p in range(GROUP))
+    return F.lit((GROUP - 1) << shift).cast("long"), F.expr(f"array({places})")
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -82,23 +82,20 @@ def level_of(keys: Column) -> Column:
 
 
 def sketch(keys: Column, salt: int = 0) -> Column:
-    """Cells of a set of digests."""
-    entries = F.transform(keys, lambda k: F.struct(_bits(k, salt).alias("b"), _value(k).alias("v")))
-    empty = F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("v"))
-    masks = F.expr(f"array({', '.join(f'{1 << i}L' for i in range(CELLS))})")
-
-    def cell(mask: Column, own: Column) -> Column:
-        mine = F.filter(own, lambda e: e.b.bitwiseAND(mask) != 0)
-        return F.aggregate(mine, empty, lambda a, e: F.struct((a.c + 1).alias("c"), a.v.bitwiseXOR(e.v).alias("v")))
+    """Cells of a set of digests; null if it has more than ``MOST``."""
+    zero = F.lit(0).cast("long")
 
     def cells(own: Column) -> Column:
-        # half of the cells stay empty: one mask of the others saves them the search
-        used = F.aggregate(own, F.lit(0).cast("long"), lambda u, e: u.bitwiseOR(e.b))
-        return _bound(used, lambda u: F.transform(masks, lambda m: F.when(u.bitwiseAND(m) != 0, cell(m, own)).otherwise(empty)))
+        def group(j: int) -> Column:
+            mask, places = _group(j, salt)
+            add = lambda p: F.aggregate(own, zero, lambda a, e: F.when(e.bitwiseAND(mask) == p, a + e).otherwise(a))
+            return F.transform(places, add)
+
+        return F.concat(*[group(j) for j in range(CELLS // GROUP)])
 
     # the entries are made once and not for every cell
-    made = _bound(entries, cells)
-    return F.when(F.size(keys) > 0, made).otherwise(F.array_repeat(empty, CELLS))
+    made = _bound(F.transform(keys, _entry), cells)
+    return F.when(F.size(keys) == 0, F.array_repeat(zero, CELLS)).when(F.size(keys) <= MOST, made)
 
 
 def parts_of(keys: Column, level: Column) -> Column:
@@ -107,77 +104,75 @@ def parts_of(keys: Column, level: Column) -> Column:
     Dealt by the lower half of the level's bits, then by the upper half, so
     that the work for a digest grows with the root of the number of parts.
     """
-    one = F.lit(1).cast("long")
+    one = F.lit(1 << 32)
     low = F.floor(level / 2).cast("int")
     size = lambda bits: F.call_function("shiftleft", one, bits)
-    # numbers of places and the shift are made once, not for every digest
-    plan = F.struct(size(low).alias("low"), size(level - low).alias("high"), low.alias("shift"))
+    # masks and the step are made once, not for every digest; the bits that deal stand above the digest
+    plan = F.struct((size(low) - one).alias("low"), size(low).alias("step"), (size(level) - size(low)).alias("high"))
 
     def parts(by: Column) -> Column:
-        dealt = F.transform(
-            keys,
-            lambda k: F.struct(
-                F.xxhash64(k, F.lit(9)).bitwiseAND(by.low - 1).alias("p"),
-                F.call_function("shiftright", F.xxhash64(k, F.lit(9)), by["shift"]).bitwiseAND(by.high - 1).alias("q"),
-                k.alias("k"),
-            ),
-        )
-        groups = _bound(dealt, lambda every: F.transform(F.sequence(F.lit(0).cast("long"), by.low - 1), lambda p: F.filter(every, lambda e: e.p == p)))
-        own = lambda group, q: F.transform(F.filter(group, lambda e: e.q == q), lambda e: e.k)
-        dealt_again = lambda group: F.transform(F.sequence(F.lit(0).cast("long"), by.high - 1), lambda q: own(group, q))
+        dealt = F.transform(keys, lambda k: F.shiftleft(F.xxhash64(k, F.lit(9)).bitwiseAND(F.lit(0x7FFFFFFF)), 32).bitwiseOR(k))
+        places = F.sequence(F.lit(0).cast("long"), by.low, one)
+        groups = _bound(dealt, lambda every: F.transform(places, lambda p: F.filter(every, lambda e: e.bitwiseAND(by.low) == p)))
+        own = lambda group, q: F.transform(F.filter(group, lambda e: e.bitwiseAND(by.high) == q), lambda e: e.bitwiseAND(F.lit(DIGEST)))
+        dealt_again = lambda group: F.transform(F.sequence(F.lit(0).cast("long"), by.high, by["step"]), lambda q: own(group, q))
         return F.transform(F.flatten(F.transform(groups, dealt_again)), lambda k: F.struct(k.alias("keys"), sketch(k).alias("cells")))
 
     return _bound(plan, parts)
 
 
 def peeled(a: Column, b: Column, salt: int = 0) -> Column:
-    """Digests in one sketch only: ``c`` is 1 for ``a``, -1 for ``b``; null if peeling fails."""
-    difference = F.zip_with(a, b, lambda x, y: F.struct((x.c - y.c).alias("c"), x.v.bitwiseXOR(y.v).alias("v")))
-    none = F.array().cast("array<bigint>")
-    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(True).alias("more"))
+    """Entries of digests in one sketch only, with the sign bit for ``b``; null if peeling fails."""
+    difference = F.zip_with(a, b, lambda x, y: x - y)
+    count = CELLS // GROUP
+    names = [f"g{j}" for j in range(count)]
+
+    def state(groups: list[Column], found: Column, more: bool) -> Column:
+        return F.struct(*[g.alias(n) for g, n in zip(groups, names)], found.alias("found"), F.lit(more).alias("more"))
 
     def pure(x: Column) -> Column:
-        return (F.abs(x.c) == 1) & (_value(x.v.bitwiseAND(F.lit(DIGEST))) == x.v)
+        m = F.abs(x)
+        return (F.call_function("shiftright", m, F.lit(COUNT)) == 1) & (_entry(m.bitwiseAND(F.lit(DIGEST))) == m)
 
     def take(s: Column) -> Column:
-        # a digest may be alone in several of its cells; longs are told apart by hash, structs pair by pair
-        alone = F.transform(F.filter(s.cells, pure), lambda x: F.when(x.c < 0, x.v.bitwiseOR(F.lit(OTHER))).otherwise(x.v))
-        sides = lambda n: F.when(n < 0, F.lit(-1)).otherwise(F.lit(1)).alias("c")
-        placed = lambda n: F.struct(sides(n), n.bitwiseAND(F.lit(VALUE)).alias("v"), _bits(n.bitwiseAND(F.lit(DIGEST)), salt).alias("b"))
+        groups = [s[n] for n in names]
+        # a digest may be alone in several of its cells
+        side = lambda x: F.when(x < 0, (-x).bitwiseOR(F.lit(OTHER))).otherwise(x)
+        alone = F.array_distinct(F.transform(F.filter(F.concat(*groups), pure), side))
 
-        def without(x: Column, i: Column, gone: Column) -> Column:
-            here = F.filter(gone, lambda p: F.call_function("shiftright", p.b, i).bitwiseAND(F.lit(1)) == 1)
-            return F.aggregate(here, x, lambda y, p: F.struct((y.c - p.c).alias("c"), y.v.bitwiseXOR(p.v).alias("v")))
+        def rest(gone: Column, j: int) -> Column:
+            mask, places = _group(j, salt)
+            taken = lambda y, e: F.when(e < 0, y + e.bitwiseAND(F.lit(VALUE))).otherwise(y - e)
+            out = lambda y, e, p: F.when(e.bitwiseAND(mask) == p, taken(y, e)).otherwise(y)
+            return F.zip_with(groups[j], places, lambda x, p: F.aggregate(gone, x, lambda y, e: out(y, e, p)))
 
-        def update(gone: Column, touched: Column) -> Column:
-            hit = lambda i: F.call_function("shiftright", touched, i).bitwiseAND(F.lit(1)) == 1
-            return F.transform(s.cells, lambda x, i: F.when(hit(i), without(x, i, gone)).otherwise(x))
+        def after(gone: Column) -> Column:
+            made = state([rest(gone, j) for j in range(count)], F.concat(s.found, gone), True)
+            return F.when(F.size(gone) > 0, made).otherwise(state(groups, s.found, False))
 
-        def after(now: Column, gone: Column) -> Column:
-            touched = F.aggregate(gone, F.lit(0).cast("long"), lambda t, p: t.bitwiseOR(p.b))
-            cells = _bound(touched, lambda t: update(gone, t))
-            made = F.struct(cells.alias("cells"), F.concat(s.found, now).alias("found"), F.lit(True).alias("more"))
-            return F.when(F.size(gone) > 0, made).otherwise(F.struct(s.cells.alias("cells"), s.found.alias("found"), F.lit(False).alias("more")))
+        return _bound(alone, after)
 
-        return _bound(F.array_distinct(alone), lambda now: _bound(F.transform(now, placed), lambda gone: after(now, gone)))
+    def start(cells: Column) -> Column:
+        return state([F.slice(cells, 1 + j * GROUP, GROUP) for j in range(count)], F.array().cast("array<bigint>"), True)
 
     def step(s: Column, _: Column) -> Column:
         return F.when(s.more, take(s)).otherwise(s)
 
     def finish(s: Column) -> Column:
-        return F.when(~F.exists(s.cells, lambda x: (x.c != 0) | (x.v != 0)), F.transform(s.found, lambda n: F.struct(F.when(n < 0, F.lit(-1)).otherwise(F.lit(1)).alias("c"), n.bitwiseAND(F.lit(DIGEST)).alias("k"))))
+        # a sum taken for an entry by its check bits is found a second time, when it is put back
+        once = F.size(F.array_distinct(F.transform(s.found, lambda e: e.bitwiseAND(F.lit(VALUE))))) == F.size(s.found)
+        return F.when(~F.exists(F.concat(*[s[n] for n in names]), lambda x: x != 0) & once, s.found)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, finish)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), _bound(difference, start), step, finish)
 
 
 def _exact(a: Column, b: Column) -> Column:
     """The same from the digests themselves."""
-    side = lambda keys, sign: F.transform(keys, lambda k: F.struct(F.lit(sign).alias("c"), k.alias("k")))
-    return F.concat(side(F.array_except(a, b), 1), side(F.array_except(b, a), -1))
+    return F.concat(F.transform(F.array_except(a, b), _entry), F.transform(F.array_except(b, a), lambda k: _entry(k).bitwiseOR(F.lit(OTHER))))
 
 
 def differing(a: Column, b: Column) -> Column:
-    """Differing digests of two parts: by peeling, by larger sketches with other cells, or exactly."""
+    """Differing digests of two parts, as ``peeled`` gives them: by peeling, by larger sketches with other cells, or exactly."""
     tries = [peeled(a.cells, b.cells)]
     for salt, k in enumerate(LARGER, 1):
         deal = lambda keys, p: F.filter(keys, lambda x: F.pmod(F.xxhash64(x, F.lit(11)), F.lit(1 << k)) == p)  # noqa: B023,E731
@@ -187,7 +182,7 @@ def differing(a: Column, b: Column) -> Column:
         )
         tries.append(_bound(parts, lambda made: F.when(~F.exists(made, F.isnull), F.flatten(made))))
     # equal cells subtract to nothing, so there is nothing to peel
-    none = F.array().cast("array<struct<c:int,k:bigint>>")
+    none = F.array().cast("array<bigint>")
     return F.when(a.cells == b.cells, none).otherwise(F.coalesce(*tries, _exact(a["keys"], b["keys"])))
 
 
@@ -198,7 +193,7 @@ def likeness(a: Column, b: Column) -> Column:
     counts = F.zip_with(
         at_level(a),
         at_level(b),
-        lambda x, y: _bound(differing(x, y), lambda found: F.struct(F.size(found).alias("all"), F.size(F.filter(found, lambda f: f.c == 1)).alias("one"))),
+        lambda x, y: _bound(differing(x, y), lambda found: F.struct(F.size(found).alias("all"), F.size(F.filter(found, lambda f: f > 0)).alias("one"))),
     )
     start = F.struct(F.lit(0).alias("all"), F.lit(0).alias("one"))
     total = F.aggregate(counts, start, lambda s, x: F.struct((s["all"] + x["all"]).alias("all"), (s.one + x.one).alias("one")))
@@ -212,10 +207,17 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprint(s: Column) -> Column:
     """Number of digests and the added cells as hex: 8 digits, then 8 + 16 for each cell."""
-    empty = F.array_repeat(F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("v")), CELLS)
-    added = F.aggregate(
-        s.parts, empty, lambda own, p: F.zip_with(own, p.cells, lambda x, y: F.struct((x.c + y.c).alias("c"), x.v.bitwiseXOR(y.v).alias("v")))
-    )
+    cell = lambda c, v: F.struct(c.alias("c"), v.alias("v"))
+    empty = F.array_repeat(cell(F.lit(0).cast("long"), F.lit(0).cast("long")), CELLS)
+    value = (1 << 62) - 1
+    # a part beyond the limit of a sketch counts by a hash of its digests
+    whole = lambda p: F.coalesce(p.cells, F.array_repeat(F.xxhash64(F.array_sort(p["keys"])).bitwiseAND(F.lit((1 << COUNT) - 1)), CELLS))
+
+    def plus(x: Column, y: Column) -> Column:
+        count = F.call_function("shiftright", y, F.lit(COUNT))
+        return cell(x.c + count, (x.v + y.bitwiseAND(F.lit((1 << COUNT) - 1))).bitwiseAND(F.lit(value)))
+
+    added = F.aggregate(s.parts, empty, lambda own, p: F.zip_with(own, whole(p), plus))
     cells = F.transform(added, lambda x: F.concat(F.lpad(F.hex(x.c), 8, "0"), F.lpad(F.hex(x.v), 16, "0")))
     return F.concat(F.lpad(F.hex(F.size(s["keys"])), 8, "0"), F.array_join(cells, ""))
 
