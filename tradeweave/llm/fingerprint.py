@@ -12,7 +12,9 @@ difference of that part is taken from its digests themselves.
 
 Likeness is the Dice coefficient of the two whole sets. The printed fingerprint
 is the number of digests and the parts added up, cell by cell: a fixed length,
-in which every digest counts.
+in which every digest counts. A part of more than ``MOST`` digests, which
+dealing by hash makes all but impossible, has no cells: it is compared exactly
+and counts in the printed fingerprint by a hash of its digests.
 
 Defined results: null texts are empty, have no paragraphs and are alike (1.0)
 only with texts of equal fingerprint; rows that agree in id and text are one
