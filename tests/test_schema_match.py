@@ -3,7 +3,7 @@ import random
 from conftest import rows
 
 from tradeweave.functions.similarity import indel_pairs
-from tradeweave.operators import column_overlap, match_columns, mediated_mapping, mediated_union
+from tradeweave.operators import column_overlap, match_columns, mediated_mapping, mediated_union, schema_match
 from tradeweave.plans.queries import ATTRIBUTES, OVERRIDES
 from tradeweave.plans.views import CATALOG_A, KEYED_B
 
@@ -82,6 +82,24 @@ def test_best_value_equals_brute_force(spark):
         assert rows(column_overlap(df, ["p", "q", "r"], wanted, "c")) == ([("pqr"[-at], best)] if best else [])
 
 
+def test_few_categories_do_not_shuffle_the_values(spark, monkeypatch):
+    """The values are scored where they are, in blocks of long and short texts."""
+    rng = random.Random(3)
+    table = [("".join(rng.choices("abcd é😀", k=rng.choice([0, 1, 7, 300]))) or None, f"img/{i}") for i in range(200)]
+    categories = ["".join(rng.choices("abcdxyé", k=rng.choice([2, 5, 290]))) + "!" for _ in range(12)]
+    scored = [(indel_pairs([c], [v])[0], -at) for c in categories for row in table for at, v in enumerate(row) if v]
+    best, at = max(scored)
+    df = spark.createDataFrame(table, "p string, q string")
+    wanted = spark.createDataFrame([(c,) for c in categories], "c string")
+    monkeypatch.setattr(schema_match, "MAP_CELLS", 1 << 10)
+    monkeypatch.setattr(schema_match, "SCORED_PAIRS", 3)
+    with monkeypatch.context() as few:
+        few.setattr(schema_match, "overlap_pairs", None)
+        assert rows(column_overlap(df, ["p", "q"], wanted, "c")) == [("pq"[-at], best)]
+    monkeypatch.setattr(schema_match, "HELD_CHARS", 0)
+    assert rows(column_overlap(df, ["p", "q"], wanted, "c")) == [("pq"[-at], best)]
+
+
 def test_nothing_in_common(spark):
     assert overlap(spark, ["Q"]) == []
 
