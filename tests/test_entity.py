@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import plan_of, rows
+from pyspark.sql import functions as F
 from test_functions import reference_jaro_winkler
 
 from tradeweave.operators import Rule, entity, entity_match, entity_match_pairs, similarity_join
@@ -109,3 +110,15 @@ def test_text_only_rule(spark, threshold):
     assert sorted(found) == sorted([*{x for x, _ in pairs}, *{y for _, y in pairs}])
     got = {(r["name_a"], r["name_b"]) for r in entity_match_pairs(a, b, rule).collect()}
     assert got == set(pairs)
+
+
+def test_window_tasks_stay_small(spark, monkeypatch):
+    """Links share their first letters and have no price: one block of all of them."""
+    monkeypatch.setattr(entity, "GROUP_ROWS", 100)
+    data = [(side, f"img/{i}.jpg", 0.0) for i in range(1_000) for side in "ab"]
+    keys = spark.createDataFrame(data, "side string, name string, price double")
+    rule = Rule(0.6, 1.0, 0.0, name="link", price=None)
+    tried = entity._near_price_hits(keys, rule).select(F.spark_partition_id().alias("part"))
+    sizes = [r["count"] for r in tried.groupBy("part").count().collect()]
+    assert sum(sizes) == 4 * len(data)
+    assert max(sizes) < 5 * entity.GROUP_ROWS

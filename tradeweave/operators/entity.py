@@ -39,8 +39,10 @@ THRESHOLD = 0.7
 NAME_WEIGHT = 0.7
 PRICE_WEIGHT = 0.3
 
-# Expected rows per window group.
-GROUP_ROWS = 2_000_000
+# Expected rows per window group, and parts of a group's size that a task of
+# the windows expects, so that groups that meet in one task stay few.
+GROUP_ROWS = 200_000
+GROUP_SPREAD = 4
 # Narrowest price band of the pair join, as a difference of logarithms, and how
 # often it may double before prices are not banded at all.
 BAND_WIDTH = 0.01
@@ -234,17 +236,13 @@ def _near_price_hits(keys: DataFrame, rule: Rule) -> DataFrame:
     across a cut are missed, which only leaves more keys to the exact step.
     """
     words = F.split("name", " ")
-    blocks = F.array(
-        *[
-            F.struct(F.lit(tag).alias("tag"), value.alias("block"))
-            for tag, value in {
-                "name": F.col("name"),
-                "first": F.element_at(words, 1),
-                "start": F.array_join(F.slice(words, F.lit(1), F.lit(2)), " "),
-                "lead": F.substring("name", 1, 3),
-            }.items()
-        ]
-    )
+    features = {
+        "name": F.col("name"),
+        "first": F.element_at(words, 1),
+        "start": F.array_join(F.slice(words, F.lit(1), F.lit(2)), " "),
+        "lead": F.substring("name", 1, 3),
+    }
+    blocks = F.array(*[F.struct(F.lit(tag).alias("tag"), value.alias("block")) for tag, value in features.items()])
     scale = F.log("price") * 20
     band = F.when(F.col("price") > 0, F.floor(scale)).otherwise(-(1 << 40))
     in_band = F.when(F.col("price") > 0, scale - F.floor(scale)).otherwise(0.0)
@@ -253,7 +251,10 @@ def _near_price_hits(keys: DataFrame, rule: Rule) -> DataFrame:
     blocked = keys.select("side", "name", "price", F.inline(blocks)).withColumn("band", band)
     blocked = _cut(_cut(blocked, parts[:3], in_band, "range"), parts, by_name, "lane")
     # Named here, as a join on the blocks alone would do for the window too.
-    blocked = blocked.repartition(*parts, "lane")
+    # What a task sorts is bounded by more tasks for more rows.
+    tasks = math.ceil(GROUP_SPREAD * len(features) * keys.count() / GROUP_ROWS)
+    few = tasks <= int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocked = blocked.repartition(*([] if few else [tasks]), *parts, "lane")
     group = Window.partitionBy(*parts, "lane").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
