@@ -381,3 +381,20 @@ def test_fingerprint_parts(spark):
             peeled += 1
             assert sorted(map(side, r.p)) == expected
     assert peeled > 300
+
+
+def test_suffix_order_packs_its_first_symbols(monkeypatch):
+    """Eight sorts at most for 400 symbols, in the order of the first ones."""
+    import numpy as np
+
+    from tradeweave.llm import suffix_dedup
+
+    rng = np.random.default_rng(4)
+    text = np.concatenate([rng.integers(0, 3, 900), np.tile(rng.integers(250, 257, 450), 2), [0]]).astype(np.int64)
+    sorts = []
+    argsort = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *args, **options: sorts.append(1) or argsort(*args, **options))
+    order = suffix_dedup.suffix_order(text, 400)
+    assert len(sorts) <= 8
+    starts = [tuple(text[at : at + 400].tolist()) for at in order]
+    assert starts == sorted(starts) and sorted(order.tolist()) == list(range(len(text)))
