@@ -66,6 +66,21 @@ def test_partner_products(spark):
     assert rows(spark.read.parquet(path)) == [("audio", "boat", "boAt Rockerz", "Audio gear", "i.jpg", "kind")]
 
 
+def test_partner_products_compute_each_input_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(data, schema):
+        return spark.createDataFrame(spark.sparkContext.parallelize(data, 2).map(lambda row: made.add(1) or row), schema)
+
+    deals = counted([(1, "audio", "boat"), (2, None, "x"), (3, "audio", "boat")], "_id int, business_category string, company_name string")
+    goods = counted([(5, "boAt Rockerz", "Audio gear"), (6, None, "toys")], "_id int, nameitem string, kind string")
+    path = new_path(spark, "partners")
+    assert pipelines.load_partner_products(deals, goods, path) == "kind"
+    assert made.value == 5
+    assert rows(spark.read.parquet(path)) == [("audio", "boat", "boAt Rockerz", "Audio gear", "kind")] * 2
+    assert pipelines.load_partner_products(deals.limit(0), goods, new_path(spark, "none")) is None
+
+
 def test_refresh_catalog(spark):
     register_source(spark, "one_source", {"v": "SELECT 1 AS a, 'x' AS b"})
     path = new_path(spark, "catalog")
