@@ -398,3 +398,66 @@ def test_suffix_order_packs_its_first_symbols(monkeypatch):
     assert len(sorts) <= 8
     starts = [tuple(text[at : at + 400].tolist()) for at in order]
     assert starts == sorted(starts) and sorted(order.tolist()) == list(range(len(text)))
+
+
+def test_suffix_expansion_sorts_little(monkeypatch):
+    """The transform sorts only ties again and starts at strings of 7 symbols."""
+    rng = np.random.default_rng(6)
+    base = bytes(rng.integers(97, 123, 736, dtype=np.uint8))
+    strings = [base[:k] + bytes([65 + k % 7]) + base[k + 1 :] for k in range(50, 700, 13)]
+    strings += [bytes(rng.integers(97, 123, 420, dtype=np.uint8)) for _ in range(60)]
+    sorted_rows = []
+    argsort = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **options: sorted_rows.append(len(a)) or argsort(a, *args, **options))
+    found = suffix_dedup.repeated_windows(strings, [1] * len(strings), 400)
+    seen = collections.Counter(s[k : k + 400] for s in strings for k in range(len(s) - 399))
+    assert [f.tolist() for f in found] == [[k for k in range(len(s) - 399) if seen[s[k : k + 400]] > 1] for s in strings]
+    # 11.7 times their symbols before, 3.5 after
+    assert sum(sorted_rows) < 6 * sum(map(len, strings))
+
+
+def test_suffix_strings_are_trimmed_to_what_repeats():
+    """What is left of strings that share an anchor holds all repeated windows and little else."""
+    rng = np.random.default_rng(7)
+    for length in (100, 400):
+        texts = []
+        for _ in range(12):
+            base = bytes(rng.integers(97, 101, 3 * length, dtype=np.uint8))
+            for _ in range(int(rng.integers(2, 6))):
+                text = bytearray(base)
+                for at in rng.integers(0, len(base), int(rng.integers(0, 4))):
+                    text[at] = 65 + int(rng.integers(0, 2))
+                texts.append(bytes(text))
+        # one gram in many texts whose neighbours differ; most strings of this anchor repeat nothing
+        gram = bytes(rng.integers(97, 123, suffix_dedup.GRAM, dtype=np.uint8))
+        texts += [bytes(rng.integers(97, 123, length, dtype=np.uint8)) + gram + bytes(rng.integers(97, 123, length, dtype=np.uint8)) for _ in range(40)]
+        held = collections.defaultdict(lambda: [0, b""])
+        for text in texts:
+            for start, n, anchor, content in suffix_dedup.byte_runs(text, [(0, len(text))], length):
+                own = held[int(anchor), content]
+                own[0], own[1] = own[0] + 1, text[start : start + n + length - 1]
+        rows = [(a, c, w, b) for (a, c), (w, b) in sorted(held.items())]
+        seen = collections.Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
+        left = {}
+        for group in suffix_dedup.trimmed([r for r in rows for _ in range(2)], length):
+            for anchor, content, start, data, w in group:
+                assert (anchor, content) not in left and held[anchor, content][0] == w
+                left[anchor, content] = (start, start + len(data) - length)
+        for anchor, content, _, data in rows:
+            twice = [k for k in range(len(data) - length + 1) if seen[data[k : k + length]] > 1]
+            low, high = left.get((anchor, content), (0, -1))
+            assert all(low <= k <= high for k in twice), (low, high, twice)
+            if sum(r[0] == anchor for r in rows) == 2 and held[anchor, content][0] == 1:
+                assert twice == list(range(low, high + 1))
+        assert sum(high - low + length for low, high in left.values()) < 0.6 * sum(len(r[3]) for r in rows)
+
+
+def test_suffix_strings_come_from_their_own_text(spark):
+    """Of two texts with one id and one short digest, only that with the wanted content is cut."""
+    import xxhash
+
+    right, other = "r" * 450, "o" * 300
+    content = np.array([xxhash.xxh3_64_intdigest(right[10:430].encode())], np.uint64).view(np.int64)[0]
+    texts = spark.createDataFrame([(1, 7, right), (1, 7, other), (2, 7, right)], "doc long, digest long, text string")
+    wanted = spark.createDataFrame([(5, int(content), 3, (1, 7, 10, 21))], "anchor long, content long, w long, at struct<doc long, digest long, start long, n long>")
+    assert [tuple(r) for r in suffix_dedup.cut_strings(texts, wanted, 400).collect()] == [(5, int(content), 3, right[10:430].encode())]
