@@ -1,6 +1,6 @@
 from conftest import rows
 
-from tradeweave.plans import pipelines
+from tradeweave.plans import pipelines, queries
 from tradeweave.sources import register_source
 from tradeweave.workspace import new_path
 
@@ -81,6 +81,24 @@ def test_partner_products_compute_each_input_once(spark):
     assert pipelines.load_partner_products(deals.limit(0), goods, new_path(spark, "none")) is None
 
 
+def test_partner_query_computes_each_input_once(spark, monkeypatch):
+    """The search for the column and the join read one copy of either input."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(data, schema):
+        return spark.createDataFrame(spark.sparkContext.parallelize(data, 2).map(lambda row: made.add(1) or row), schema)
+
+    deals = counted([(1, "audio", "boat"), (2, None, "x"), (3, "audio", "boat")], "_id int, business_category string, company_name string")
+    goods = counted([(5, "boAt Rockerz", "Audio gear"), (6, None, "toys")], "_id int, nameitem string, kind string")
+    monkeypatch.setattr(queries.v, "partnerships", lambda spark, sf: deals)
+    monkeypatch.setattr(queries, "combined_view", lambda spark, sf: goods)
+    found = queries.partner_products(spark, "unused")
+    assert rows(found) == [("audio", "boat", "boAt Rockerz", "Audio gear", "kind")] * 2
+    assert made.value == 5
+    monkeypatch.setattr(queries.v, "partnerships", lambda spark, sf: deals.limit(0))
+    assert rows(queries.partner_products(spark, "unused")) == []
+
+
 def test_refresh_catalog(spark):
     register_source(spark, "one_source", {"v": "SELECT 1 AS a, 'x' AS b"})
     path = new_path(spark, "catalog")
